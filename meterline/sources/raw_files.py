@@ -11,6 +11,7 @@ import csv
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -116,7 +117,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             frames.append(reader.options(**file_options("csv")).csv(paths))
         else:
             same = headers.filter(F.col("header") == layout.header).select("path")
-            frames.append(reader.csv([literal_path(row.path) for row in same.collect()]))
+            # The metadata column shows a path as a URI, with special characters as %xx.
+            frames.append(reader.csv([literal_path(unquote(row.path)) for row in same.collect()]))
     if not frames:
         return spark.createDataFrame([], _text_schema([*_raw_names(), SOURCE_FILE]))
     return _together([_with_source(frame) for frame in frames])
