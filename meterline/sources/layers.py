@@ -33,6 +33,10 @@ class Lake:
     def audit(self) -> str:
         return f"{self.root}/audit/ingest"
 
+    @property
+    def attempts(self) -> str:
+        return f"{self.root}/bookmarks/attempts"
+
     @property
     def bookmark(self) -> str:
         return f"{self.root}/bookmarks/raw"
@@ -53,12 +57,13 @@ def append_processed(trips: DataFrame, path: str, compression: str = "snappy") -
 
 
 def write_ingest_batch(
-    frame: DataFrame, path: str, batch: str, keys: tuple[str, ...] = ()
+    frame: DataFrame, path: str, batch: str, keys: tuple[str, ...] = (), replace: bool = True
 ) -> None:
-    """Write one batch into partitions of its own. A second attempt replaces what the first wrote."""
+    """Write one batch into partitions of its own. With ``replace``, a second attempt takes the place
+    of whatever the first one wrote; a first attempt can append, which commits faster."""
     tagged = (by_partition(frame, *keys) if keys else frame).withColumn(INGEST_BATCH, F.lit(batch))
     (
-        tagged.write.mode("overwrite")
+        tagged.write.mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys, INGEST_BATCH)
         .option("compression", "snappy")

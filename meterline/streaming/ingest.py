@@ -3,8 +3,8 @@
 The stream carries the names of new files and not their rows. Its checkpoint is the bookmark. Each
 micro-batch is then an ordinary batch job over the named files, with column pruning, several file
 formats and adaptive execution. A batch tag, made of the stream's lasting id and the batch number,
-is the last partition column of everything written, so a batch that is run again after a crash
-replaces its own files and duplicates none.
+is the last partition column of everything written. A batch leaves a mark before it writes: with no
+mark it appends, and a batch that is run again after a crash replaces its own files.
 """
 
 from __future__ import annotations
@@ -50,22 +50,32 @@ def ingest_files(spark: SparkSession, lake: Lake, paths: list[str], batch: str)
     # Parsed once for counts, trips and rejects. The size of a batch is bounded by the file limit,
     # and blocks lost with an executor are parsed again.
     judged = judged_trips(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    again = _tried_before(spark, lake, batch)
     try:
         found = _statistics(judged)
         if found["rows_kept"]:
             kept = trips.finished_trips(judged.filter("is_kept"))
-            layers.write_ingest_batch(kept, lake.processed, batch, DAY_KEYS)
+            layers.write_ingest_batch(kept, lake.processed, batch, DAY_KEYS, again)
         if found["rows_rejected"]:
             rejects = judged.filter("NOT is_kept").withColumn(
                 "broken_rules", quality.broken_rules()
             )
-            layers.write_ingest_batch(rejects.drop("is_kept"), lake.rejects, batch)
+            layers.write_ingest_batch(rejects.drop("is_kept"), lake.rejects, batch, replace=again)
     finally:
         judged.unpersist()
     _write_audit(spark, lake, batch, len(paths), found)
     return found
 
 
+def _tried_before(spark: SparkSession, lake: Lake, batch: str) -> bool:
+    """Leave a mark before the first row of a batch is written, and tell if there was one."""
+    if layers.exists(spark, f"{lake.attempts}/{layers.INGEST_BATCH}={batch}"):
+        return True
+    mark = spark.range(1).select(F.current_timestamp().alias("started_at"))
+    layers.write_ingest_batch(mark, lake.attempts, batch)
+    return False
+
+
 def _write_audit(
     spark: SparkSession, lake: Lake, batch: str, files: int, found: dict[str, int]
 ) -> None:
