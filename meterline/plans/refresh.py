@@ -33,9 +33,9 @@ def rebuild_curated(
     shared folder, so that the four writes neither read the trips again nor depend on executors that
     may be lost. Returns False, and writes nothing, when there are no trips.
     """
-    if not layers.exists(spark, lake.processed) or (months is not None and not months):
+    trips = layers.if_present(lambda: layers.read_processed(spark, lake.processed))
+    if trips is None or (months is not None and not months):
         return False
-    trips = layers.read_processed(spark, lake.processed)
     if months is not None:
         trips = _of_months(trips, months)
     shared_folder(spark)
@@ -50,16 +50,17 @@ def rebuild_curated(
 
 def months_of_batches(spark: SparkSession, lake: Lake, batches: Sequence[str]) -> list[Month]:
     """Months that ingest batches wrote to; a handful of rows, found from partition folders."""
-    written = layers.read_batches(spark, lake.processed).filter(
-        F.col(layers.INGEST_BATCH).isin(*batches)
-    )
+    trips = layers.if_present(lambda: layers.read_batches(spark, lake.processed))
+    if trips is None:
+        return []
+    written = trips.filter(F.col(layers.INGEST_BATCH).isin(*batches))
     return [tuple(row) for row in written.select(*MONTH_KEYS).distinct().collect()]
 
 
 def refresh(spark: SparkSession, lake: Lake, only_new_months: bool = False) -> list[str]:
     """Ingest new raw files, then rebuild the curated tables if there were any."""
     batches = ingest_new_files(spark, lake)
-    if batches and layers.exists(spark, lake.processed):
+    if batches:
         months = months_of_batches(spark, lake, batches) if only_new_months else None
         rebuild_curated(spark, lake, months)
     return batches

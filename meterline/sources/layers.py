@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -100,11 +101,11 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame that ``read`` gives, or None when its folder does not exist yet."""
     try:
-        spark.read.format("binaryFile").load(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True

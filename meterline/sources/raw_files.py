@@ -53,14 +53,11 @@ def file_notices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return reader.load(paths).select("path", suffix.alias("format"))
 
 
-def new_file_stream(
-    spark: SparkSession, path: str, max_files: int, max_bytes: int | None = None
-) -> DataFrame:
-    """A stream with one row per file that has not been seen before."""
-    limit = {"maxBytesPerTrigger": max_bytes} if max_bytes else {"maxFilesPerTrigger": max_files}
+def new_file_stream(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+    """A stream with one row per file that has not been seen before, oldest first."""
     options = {
         **file_options(),
-        **limit,
+        "maxFilesPerTrigger": max_files,
         # The default leaves out files a week older than the newest one seen, such as a late copy.
         "maxFileAge": "36500d",
     }

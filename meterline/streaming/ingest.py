@@ -69,7 +69,8 @@ def ingest_files(spark: SparkSession, lake: Lake, paths: list[str], batch: str)
 
 def _tried_before(spark: SparkSession, lake: Lake, batch: str) -> bool:
     """Leave a mark before the first row of a batch is written, and tell if there was one."""
-    if layers.exists(spark, f"{lake.attempts}/{layers.INGEST_BATCH}={batch}"):
+    marked = f"{lake.attempts}/{layers.INGEST_BATCH}={batch}"
+    if layers.if_present(lambda: layers.read_batches(spark, marked)) is not None:
         return True
     mark = spark.range(1).select(F.current_timestamp().alias("started_at"))
     layers.write_ingest_batch(mark, lake.attempts, batch)
@@ -88,10 +89,7 @@ def _write_audit(
 
 
 def ingest_new_files(
-    spark: SparkSession,
-    lake: Lake,
-    max_files: int = MAX_FILES_PER_BATCH,
-    max_bytes: int | None = None,
+    spark: SparkSession, lake: Lake, max_files: int = MAX_FILES_PER_BATCH
 ) -> list[str]:
     """Process every raw file that has not been read yet; return the tags of the batches."""
     started, stream_id, done = threading.Event(), [], []
@@ -107,7 +105,7 @@ def ingest_new_files(
         done.append(batch)
 
     query = (
-        raw_files.new_file_stream(spark, lake.raw, max_files, max_bytes)
+        raw_files.new_file_stream(spark, lake.raw, max_files)
         .writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", lake.bookmark)
         .trigger(availableNow=True)

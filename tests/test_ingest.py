@@ -58,7 +58,7 @@ def test_rejects_keep_record_reasons_and_file(spark, lake):
 
 def test_no_files_at_all(spark, lake):
     assert ingest.ingest_new_files(spark, lake) == []
-    assert not layers.exists(spark, lake.processed)
+    assert layers.if_present(lambda: layers.read_processed(spark, lake.processed)) is None
     assert refresh.refresh(spark, lake) == []
 
 
