@@ -37,11 +37,11 @@ WINDOW = 4096
 END_ID = 2
 SLACK = 0.01
 _PIECE = 1_000_000
-_MOST_WORDS = 700_000
+_MOST_WORDS = 600_000
 # The tokenizer file's own pattern (a fixed value of the public vocabulary).
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-įı-ſ]+")
-_WHOLE = regex.compile(r"<\||[\x1c-\x1f]")
+_WHOLE = ("<|", "\x00", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -66,50 +66,62 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot: dict[str, int] = {}  # of words, which are runs of pieces
         self.size, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
-        self.known: dict[str, int] = {}  # of the pieces words fall into
+        self.piece: dict[str, int] = {}
+        self.piece_size, self.piece_first = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.piece_ids = np.zeros(0, np.uint32)
 
-    def _grow(self, words: list[str]) -> None:
-        """Adds words without white space."""
-        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
-        cut = [_WORD.findall(w.lower()) if p else None for w, p in zip(words, plain, strict=True)]
-        pieces = list(dict.fromkeys(chain.from_iterable(c for c in cut if c)))
+    def _pieces(self, pieces: list[str], odd: list[str]) -> None:
+        """Adds new pieces, and words that only the whole tokenizer may cut, under their own name."""
         letters = self.letters
-        spelled = [p.encode().decode("latin-1").translate(letters) for p in pieces]
+        spelled = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in pieces]
         runs = [spelled[i : i + 1000] for i in range(0, len(spelled), 1000)]
         found = self.model.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)
-        flat = np.fromiter(chain.from_iterable(e.ids for e in found), np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in found]])
         stops = np.flatnonzero(self.ends[flat]) + 1
         if len(stops) != len(pieces):
             raise ValueError("a word without an end")
-        at = dict(zip(pieces, zip(np.append(0, stops[:-1]).tolist(), stops.tolist(), strict=True), strict=True))
-        odd = iter(self.whole.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
-        ids: list[np.ndarray] = []
-        sizes = np.empty(len(words), np.int64)
-        for i, parts in enumerate(cut):
-            if parts is None:
-                own = np.array(next(odd).ids, np.int64)
-            elif len(parts) == 1:
-                a, b = at[parts[0]]
-                own = flat[a:b]
-            else:
-                own = np.concatenate([flat[slice(*at[p])] for p in parts])
-            ids.append(own)
-            sizes[i] = len(own)
-        base = len(self.ids)
+        whole = [e.ids for e in self.whole.encode_batch_fast(odd, add_special_tokens=False)]
+        sizes = np.append(np.diff(np.append(0, stops)), np.array([len(w) for w in whole], np.int64))
+        flat = np.concatenate([flat, *[np.array(w, np.uint32) for w in whole]])
+        known = len(self.piece)
+        self.piece.update(zip(chain(pieces, map("\x00".__add__, odd)), range(known, known + len(sizes)), strict=True))
+        self.piece_first = np.concatenate([self.piece_first, len(self.piece_ids) + np.cumsum(sizes) - sizes])
+        self.piece_size = np.concatenate([self.piece_size, sizes])
+        self.piece_ids = np.concatenate([self.piece_ids, flat])
+
+    def _cut(self, word: str) -> list[str]:
+        if word.isascii() or _PLAIN.fullmatch(word):
+            if word.isalpha():
+                return [word.lower()]
+            if word[:-1].isalpha():  # one mark or digit at the end is a piece of its own
+                return [word[:-1].lower(), word[-1]]
+            return _WORD.findall(word.lower())
+        return ["\x00" + word]
+
+    def _grow(self, words: list[str]) -> None:
+        """Adds words without white space."""
+        cut = list(map(self._cut, words))
+        parts = list(chain.from_iterable(cut))
+        new = [p for p in dict.fromkeys(parts) if p not in self.piece]
+        self._pieces([p for p in new if p[0] != "\x00"], [p[1:] for p in new if p[0] == "\x00"])
+        at = np.fromiter(map(self.piece.__getitem__, parts), np.int64, len(parts))
+        edge = np.append(0, np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
+        ids, stop = spread(self.piece_ids, self.piece_first[at], self.piece_size[at])
+        bounds = np.append(0, stop)[edge]
         self.slot.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.first = np.concatenate([self.first, base + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.ids = np.concatenate([self.ids, *[x.astype(np.uint32) for x in ids]])
+        self.first = np.concatenate([self.first, len(self.ids) + bounds[:-1]])
+        self.size = np.concatenate([self.size, np.diff(bounds)])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         found: list[np.ndarray | None] = [None] * len(texts)
         simple = []
         for i, text in enumerate(texts):
-            if _WHOLE.search(text):
+            if any(mark in text for mark in _WHOLE):
                 found[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
             else:
                 simple.append(i)
@@ -117,19 +129,25 @@ class WordIds:
         flat = list(chain.from_iterable(split))
         if len(self.slot) > _MOST_WORDS:
             self.forget()
-        new = list({w: None for w in flat if w not in self.slot})
+        known = self.slot
+        new = list(dict.fromkeys(w for w in flat if w not in known))
         if new:
             self._grow(new)
         slots = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
-        size, first = self.size[slots], self.first[slots]
-        stop = np.cumsum(size)
-        ids = self.ids[np.repeat(first - (stop - size), size) + np.arange(int(size.sum()))]
+        ids, stop = spread(self.ids, self.first[slots], self.size[slots])
         edge = np.append(0, stop)[np.append(0, np.cumsum([len(s) for s in split])).astype(np.int64)]
         for k, i in enumerate(simple):
             found[i] = ids[edge[k] : edge[k + 1]]
         return found
 
 
+def spread(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` one after another, and where each ends."""
+    stop = np.cumsum(size)
+    total = int(stop[-1]) if len(stop) else 0
+    return values[np.repeat(first - (stop - size), size) + np.arange(total)], stop
+
+
 _ENCODERS: dict[str, WordIds] = {}
 
 
