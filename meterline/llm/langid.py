@@ -178,7 +178,7 @@ def identify(docs: DataFrame, profiles: Profiles, folds: int = 4, held_out: int
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def in_a_known_language(docs: DataFrame, profiles: Profiles, least: float = 0.1) -> DataFrame:
+def in_a_known_language(docs: DataFrame, profiles: Profiles, least: float = 0.01) -> DataFrame:
     """The rows, with all their columns, whose text is in a learned language with a cosine of ``least`` or more."""
     at = docs.columns.index("text")
 
