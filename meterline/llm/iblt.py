@@ -203,7 +203,8 @@ def edited_fingerprints(docs: DataFrame, words: int = WORDS, fixed: int = FIXED)
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id", "text")
     order = stored(order_of(rows.select("k", "doc_id", F.length("text").alias("n_chars"))), "order")
-    placed = rows.select("k", "text").join(order.hint("shuffle_hash"), "k")
+    # Both uses of the texts read one exchange.
+    placed = rows.select("k", "text").repartition("k").join(order.hint("shuffle_hash"), "k")
     asked = F.floor(F.col("user_chars") / 3).cast("int")
     given = placed.select(
         F.col("user_k").alias("k"),
