@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import fresh, stored, words
+from meterline.llm.common import fresh, mixed, stored, words
 
 SEED = 42
 BITS = 64
@@ -346,14 +346,214 @@ def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, distance: int = 3) -> DataFrame:
+
+# --- near copies by similarity of word shingles
+
+SIMILAR = 0.8
+_CHECKED = 256  # bits compared in a bucket
+_LOOSE = 56  # of them may differ: three deviations above what a similarity of 0.8 gives
+_MISSED = 0.03
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    tokens = words(text)
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    runs = [b" ".join(tokens)] if len(tokens) <= shingle else map(b" ".join, zip(*(tokens[i:] for i in range(shingle)), strict=False))
+    return np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), np.uint64)
+
+
+def wide_fingerprint(hashes: np.ndarray, blocks: int) -> bytes:
+    """A SimHash of ``64 * blocks`` bits over the distinct shingles; each block mixes the hashes anew."""
+    hashes, found = np.unique(hashes), []
+    for block in range(blocks):
+        ones = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), _BLOCK):
+            part = mixed(hashes[at : at + _BLOCK] + np.uint64((block + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.uint32)
+        found.append(np.packbits((ones * 2 > len(hashes)).astype(np.uint8), bitorder="little"))
+    return b"".join(f.tobytes() for f in found)
+
+
+def probe_width(n: int) -> tuple[int, int]:
+    """(bits a partition, partitions): buckets stay small as the number of texts grows, and a pair at the least
+    similarity, whose bits agree with probability 0.85, misses all partitions with probability ``_MISSED``."""
+    width = max(10, int(np.ceil(np.log2(max(n, 2)))) - 6)
+    return width, int(np.ceil(np.log(_MISSED) / np.log1p(-(0.85**width))))
+
+
+def _wide(docs: DataFrame, shingle: int, blocks: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, prints = [], []
+            for text in batch.column(1):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                nodes.append(xxhash.xxh64_intdigest(np.unique(hashes).tobytes()) >> 1)
+                prints.append(wide_fingerprint(hashes, blocks))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
+                names=["doc_id", "node", "bits"],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, node long, bits binary"
+    )
+
+
+def _buckets(nodes: DataFrame, width: int, parts: int) -> DataFrame:
+    """A row for each node and partition: (part, key, node, bits), with the bits that are compared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [b.as_py() for b in batch.column(1)]
+            if not raw:
+                continue
+            bits = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1), axis=1)
+            scale = 1 << np.arange(width, dtype=np.int64)
+            shown = pa.array([r[: _CHECKED // 8] for r in raw], pa.binary())
+            for part in range(parts):
+                key = bits[:, part * width : (part + 1) * width].astype(np.int64) @ scale
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(raw), part)), pa.array(key), batch.column(0), shown],
+                    names=["part", "key", "node", "bits"],
+                )
+
+    return nodes.select("node", "bits").mapInArrow(run, "part long, key long, node long, bits binary")
+
+
+def _close(nodes: np.ndarray, bits: np.ndarray, all_up_to: int = 64):
+    """Candidate links in a bucket. In a small one all that are close; in a large one, for each member, its four
+    closest and the four members closest to the bucket's majority, near which the source of many copies lies."""
+    n = len(nodes)
+    small = n <= all_up_to
+    if not small:
+        spread = np.unpackbits(bits.view(np.uint8).reshape(n, -1), axis=1)
+        middle = np.packbits(spread.mean(axis=0) > 0.5).view(np.uint64)
+        hubs = np.argsort(np.bitwise_count(bits ^ middle).sum(axis=1), kind="stable")[:4]
+    left, right = [], []
+    for at in range(0, n, 128):
+        apart = np.bitwise_count(bits[at : at + 128, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int16)
+        rows = np.arange(len(apart))
+        apart[rows, at + rows] = 1 << 12
+        near = apart <= _LOOSE
+        if not small:
+            wanted = np.zeros_like(near)
+            wanted[rows[:, None], np.argpartition(apart, 4, axis=1)[:, :4]] = True
+            wanted[:, hubs] = True
+            near &= wanted
+        a, b = np.nonzero(near)
+        left.append(nodes[at + a])
+        right.append(nodes[b])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _candidates(buckets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in itertools.chain(batches, [None]):
+            parts = [b for b in (kept, batch) if b is not None and b.num_rows]
+            if not parts:
+                continue
+            rows = pa.Table.from_batches(parts).combine_chunks()
+            place, node = rows["place"].to_numpy(), rows["node"].to_numpy()
+            bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(node), -1)
+            starts = np.append(0, np.flatnonzero(place[1:] != place[:-1]) + 1)
+            whole = len(node) if batch is None else int(starts[-1])
+            kept = rows.slice(whole).to_batches()[0] if whole < len(node) else None
+            stops = np.append(starts[1:], len(node))
+            found = [_close(node[a:b], bits[a:b]) for a, b in zip(starts, stops, strict=True) if b <= whole and b - a > 1]
+            if found:
+                u, v = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"]
+                )
+
+    dealt = buckets.select("place", "node", "bits").repartition("place").sortWithinPartitions("place", "node")
+    return dealt.mapInArrow(run, "u long, v long").distinct()
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
+    """Links between nodes whose shingle sets have a Jaccard similarity of ``SIMILAR`` or more.
+
+    A bucket above ``bucket_rows`` is dealt again by its bits and those of each of the next four partitions."""
+    found, level = None, stored(_buckets(nodes, width, parts).withColumn("place", F.xxhash64("part", "key")), "similar-probes")
+    first = level
+    while True:
+        sizes = level.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("place")
+        large = stored(sizes, "similar-large")
+        if large.isEmpty():
+            done = _candidates(level)
+            found = done if found is None else found.union(done)
+            break
+        done = _candidates(level.join(large, "place", "left_anti"))
+        found = done if found is None else found.union(done)
+        again = level.join(large, "place", "left_semi").select("place", "node", "bits", "part")
+        again = again.select("place", "node", "bits", F.explode(F.sequence(F.col("part") + 1, F.col("part") + 4)).alias("part"))
+        again = again.withColumn("part", F.col("part") % parts)
+        more = first.select("node", "part", F.col("key").alias("key"))
+        level = again.join(more, ["node", "part"]).select("part", "key", "node", "bits", F.xxhash64("place", "part", "key").alias("place"))
+        level = stored(level, "similar-probes")
+    links_ = stored(found.distinct(), "similar-candidates")
+    return _verified_similarity(docs, nodes, links_, shingle)
+
+
+def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    used = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = stored(nodes.join(used, "node").select(F.col("least_id").alias("id")), "similar-ids")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(0)]
+            nodes_ = [xxhash.xxh64_intdigest(h.tobytes()) >> 1 for h in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes_, pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], names=["node", "own"]
+            )
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+    known = stored(texts.join(wanted, "id", "left_semi").select("text").mapInArrow(sets, "node long, own binary"), "similar-sets")
+    known = known.dropDuplicates(["node"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(common >= SIMILAR * (len(a) + len(b) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    left, right = known.toDF("u", "a"), known.toDF("v", "b")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
+    """(doc_id, component_id): documents linked by a similarity of their word shingles of ``SIMILAR`` or more.
+
+    Wide SimHashes propose pairs, exact Jaccard similarity of the shingle sets decides. Texts with equal sets are one
+    node from the start. Texts without words are alike. A null id is linked by an equal set only."""
+    n = docs.count()
+    width, parts = probe_width(n)
+    wide = stored(_wide(docs, shingle, max(_CHECKED // BITS, -(-width * parts // BITS))), "wide-prints")
+    nodes = wide.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("bits").alias("bits"))
+    nodes = stored(nodes, "similar-nodes")
+    linked = components(similar_links(docs, nodes, width, parts, shingle, bucket_rows))
+    linked = linked.withColumnRenamed("node", "of")
+    rooted = nodes.join(linked, F.col("node") == F.col("of"), "left").select(
+        "node", "least_id", F.coalesce("root", "node").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    ids = stored(rooted.join(least, "root").select("node", "component_id"), "similar-components")
+    return wide.select("doc_id", "node").join(ids, "node").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """The rows, with all their columns, less near copies: of each component, the row with the smallest id stays.
 
-    Of rows that share that id, one with the smallest text stays; ids that are null stay only where a component has
-    no other."""
-    names = docs.columns
-    mark = fresh("near", names)
-    found = near_duplicates(docs, shingle, distance)
+    Of rows that share that id one stays. Rows with a null id stay, one of them, only where no copy has an id."""
+    mark = fresh("near", docs.columns)
+    found = similar_documents(docs, shingle)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(mark)).distinct()
+    keep = stored(keep, "kept-ids")
     rows = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col(mark)), "left_semi")
     return rows.dropDuplicates(["doc_id"])
