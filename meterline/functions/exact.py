@@ -5,8 +5,9 @@ number of partitions could change a published table. Here each value is split in
 millionths, and both are added as BIGINT: the result is exact and the same on every run. Measured on
 4.4 million trips, this is as fast as plain averages of doubles, and three times as fast as DECIMAL.
 
-Bounds: values below ``LARGEST`` fit in the two sums for 9.2e11 rows per group. Larger, infinite and
-NaN values are added as doubles in a third sum, so none is lost.
+Bounds: values below ``LARGEST`` fit in the two sums for 9.2e11 rows per group. Larger ones are added as
+DECIMAL in a third sum, which is exact too. Only NaN, infinities and values from 1e25 on, whose doubles are
+farther apart than cents, are added as doubles in a fourth.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LARGEST = 1e7
-_PARTS = ("whole", "millionths", "large", "n")
+_BEYOND = 1e25
+_PARTS = ("whole", "millionths", "large", "beyond", "n")
 
 
 def sums(name: str, value: Column) -> list[Column]:
@@ -25,10 +27,12 @@ def sums(name: str, value: Column) -> list[Column]:
     small = F.when(fits, value)
     whole = F.floor(small)
     millionths = F.floor((small - whole) * 1e6 + 0.5)
+    finite = F.abs(value) < F.lit(_BEYOND)
     return [
         F.sum(whole).alias(f"{name}_whole"),
         F.sum(millionths).alias(f"{name}_millionths"),
-        F.sum(F.when(~fits, value)).alias(f"{name}_large"),
+        F.sum(F.when(~fits & finite, value).cast("decimal(38,6)")).alias(f"{name}_large"),
+        F.sum(F.when(~finite, value)).alias(f"{name}_beyond"),
         F.count(value).alias(f"{name}_n"),
     ]
 
@@ -44,30 +48,40 @@ def _decimal_total(name: str) -> Column:
     return whole + millionths * F.lit("0.000001").cast("decimal(6,6)")
 
 
-def _with_large(name: str, exact: Column, otherwise: Column) -> Column:
-    return F.when(F.col(f"{name}_large").isNull(), exact.cast("double")).otherwise(otherwise)
+def _wide_total(name: str) -> Column:
+    """With the large values; both parts are zero where a group has none of their kind."""
+    zero = F.lit(0).cast("decimal(38,6)")
+    small = F.coalesce(_decimal_total(name).cast("decimal(38,6)"), zero)
+    return (small + F.coalesce(f"{name}_large", zero)).cast("decimal(38,6)")
 
 
 def _double_total(name: str) -> Column:
-    exact = F.coalesce(_decimal_total(name).cast("double"), F.lit(0.0))
-    return exact + F.col(f"{name}_large")
+    return _wide_total(name).cast("double") + F.col(f"{name}_beyond")
+
+
+def _chosen(name: str, exact: Column, wide: Column, otherwise: Column) -> Column:
+    plain = F.when(F.col(f"{name}_large").isNull(), exact.cast("double")).otherwise(wide.cast("double"))
+    return F.when(F.col(f"{name}_beyond").isNull(), plain).otherwise(otherwise)
 
 
 def total(name: str) -> Column:
-    return _with_large(name, F.round(_decimal_total(name), 2), F.round(_double_total(name), 2))
+    exact, wide = F.round(_decimal_total(name), 2), F.round(_wide_total(name), 2)
+    return _chosen(name, exact, wide, F.round(_double_total(name), 2))
 
 
 def mean(name: str, divisor: int = 1) -> Column:
     """Mean to two places, halves away from zero; ``divisor`` turns seconds into minutes."""
     # NULLIF: a column that is NULL in the whole group has no mean.
     n = F.nullif(F.col(f"{name}_n"), F.lit(0)) * F.lit(divisor)
-    exact = F.round(_decimal_total(name) / n.cast("decimal(20,0)"), 2)
-    return _with_large(name, exact, F.round(_double_total(name) / n, 2))
+    count = n.cast("decimal(20,0)")
+    exact, wide = F.round(_decimal_total(name) / count, 2), F.round(_wide_total(name) / count, 2)
+    return _chosen(name, exact, wide, F.round(_double_total(name) / n, 2))
 
 
 def unrounded_mean(name: str) -> Column:
     n = F.nullif(F.col(f"{name}_n"), F.lit(0))
-    return _with_large(name, _decimal_total(name).cast("double") / n, _double_total(name) / n)
+    exact, wide = _decimal_total(name).cast("double") / n, _wide_total(name).cast("double") / n
+    return _chosen(name, exact, wide, _double_total(name) / n)
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,17 +67,43 @@ def sampled(spark: SparkSession, table: str, percent: float, seed: int) -> DataF
 # --- schema discovery ------------------------------------------------------------------------
 
 
-def found_schema(
-    spark: SparkSession, path: str, kind: str, sample_files: int = 20
-) -> T.StructType:
-    """Types as the files show them. Text formats are inferred from the first few files by name."""
+_WIDER = ("int", "bigint", "double")
+_TIMES = ("date", "timestamp_ntz", "timestamp")
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds both: numbers and times widen, everything else is text."""
+    for ladder in (_WIDER, _TIMES):
+        names = (a.simpleString(), b.simpleString())
+        if all(name in ladder for name in names):
+            return max((a, b), key=lambda kind: ladder.index(kind.simpleString()))
+    return a if a == b else T.StringType()
+
+
+def united(schemas: Sequence[T.StructType]) -> T.StructType:
+    """The columns of all schemas by name, in the order first met."""
+    kinds: dict[str, T.StructField] = {}
+    for field in (field for schema in schemas for field in schema):
+        known = kinds.get(field.name)
+        kind = field.dataType if known is None else _wider(known.dataType, field.dataType)
+        kinds[field.name] = T.StructField(field.name, kind)
+    return T.StructType(list(kinds.values()))
+
+
+def found_schema(spark: SparkSession, path: str, kind: str) -> T.StructType:
+    """Types as all files and rows show them. CSV files are inferred layout by layout, as their columns are found by
+    position, and then united by name."""
     if kind == "parquet":
         # Partition folders are part of the schema, and footers are read by tasks.
         return spark.read.option("mergeSchema", True).parquet(path).schema
-    named = raw_files.file_notices(spark, path).filter(F.col("format") == kind)
-    files = [row.path for row in named.orderBy("path").limit(sample_files).collect()]
-    reader = spark.read.option("header", True).option("inferSchema", True).format(kind)
-    return reader.load([raw_files.literal_path(file) for file in files]).schema
+    options = raw_files.file_options(kind)
+    if kind == "json":
+        return spark.read.options(**options).json(path).schema
+    reader = spark.read.option("header", True).option("inferSchema", True)
+    layouts = raw_files.csv_layouts(spark, path)
+    if len(layouts) == 1:
+        return reader.options(**options).csv(path).schema
+    return united([reader.csv(files).schema for files in layouts])
 
 
 def schema_report(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:

@@ -46,10 +46,15 @@ class Lake:
         return f"{self.root}/curated/{table}"
 
 
+# Below 2000, from which on Spark keeps only average sizes and could not see a hot day.
+FIRST_PARTITIONS = 1024
+
+
 def by_partition(frame: DataFrame, *keys: str) -> DataFrame:
     """Shuffle rows of a partition together, so that each makes few files. Adaptive execution splits
-    a partition above the advisory size, so a hot day is written by many tasks."""
-    return frame.hint("rebalance", *[F.col(key) for key in keys])
+    a partition above the advisory size, so a hot day is written by many tasks, and merges small ones. There are
+    more partitions than days of several years at first, so that days seldom share one and each makes few files."""
+    return frame.hint("rebalance", FIRST_PARTITIONS, *[F.col(key) for key in keys])
 
 
 def append_processed(trips: DataFrame, path: str, compression: str = "snappy") -> None:

@@ -1,19 +1,18 @@
 """Raw trip files: CSV, JSON or Parquet in any folder depth, read as text columns.
 
 CSV columns are found by header name. Spark itself matches a given CSV schema by position, so the
-header line of each file is read first (one row per file, not the file), files with the same header
-are read together with a schema in that order, and every reader checks its header while it scans.
+header lines are found first by a scan that parses nothing, files with the same header are
+read together with a schema in that order, and every reader checks its header while it scans.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +22,6 @@ from meterline.sources.schemas import RAW_TABLE
 
 FORMATS = ("csv", "json", "parquet")
 SOURCE_FILE = "source_file"
-_WHOLE_FILE = str(1 << 50)
 _FILE_NOTICE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 _BAD_JSON = "_corrupt_record"
 
@@ -66,22 +64,12 @@ def new_file_stream(spark: SparkSession, path: str, max_files: int) -> DataFrame
 
 
 def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """File and header line. One file is one task, and it stops after the first row."""
-
-    # A local function is sent with the job, so executors need no copy of this package.
-    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    peek = spark.newSession()
-    peek.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
-    peek.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
-    peek.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = peek.read.options(**file_options("csv")).text(paths)
-    named = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
-    return named.mapInArrow(first_row, named.schema)
+    """File and header line: a plain text scan, of which each task keeps one line a file."""
+    lines = spark.read.options(**file_options("csv")).text(paths)
+    starts = lines.where(F.col("_metadata.file_block_start") == 0)
+    named = starts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+    # Lines of a split stay in order and only the first split is left, so the first is the header.
+    return named.groupBy("path").agg(F.first("header").alias("header"))
 
 
 def _text_schema(names: Iterable[str]) -> T.StructType:
@@ -100,22 +88,41 @@ def _with_source(frame: DataFrame) -> DataFrame:
     return frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
+def _layouts(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str] | None]:
+    """The files of each header line; of a single layout no files are listed, as all are meant.
+
+    The names of files are kept only where there are several layouts, for the readers take them as lists."""
+    headers = csv_headers(spark, paths).persist()  # a line a file, read once for both questions
+    try:
+        found = [row.header for row in headers.select("header").distinct().limit(2).collect()]
+        if len(found) < 2:
+            return dict.fromkeys(found)
+        files: dict[str, list[str] | None] = {}
+        for row in headers.toLocalIterator():
+            # The metadata column shows a path as a URI, with special characters as %xx.
+            files.setdefault(row.header, []).append(literal_path(unquote(row.path)))
+        return files
+    finally:
+        headers.unpersist()
+
+
+def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str] | None]:
+    """The files of each layout, or None for all files."""
+    return [files and sorted(files) for _, files in sorted(_layouts(spark, paths).items())] or [None]
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    headers = csv_headers(spark, paths)
-    counted = headers.groupBy("header").count().collect()
     frames = []
-    for layout in counted:
+    for header, files in _layouts(spark, paths).items():
         reader = (
-            spark.read.schema(_text_schema(_header_names(layout.header)))
+            spark.read.schema(_text_schema(_header_names(header)))
             .option("header", True)
             .option("enforceSchema", False)
         )
-        if len(counted) == 1:
+        if files is None:
             frames.append(reader.options(**file_options("csv")).csv(paths))
         else:
-            same = headers.filter(F.col("header") == layout.header).select("path")
-            # The metadata column shows a path as a URI, with special characters as %xx.
-            frames.append(reader.csv([literal_path(unquote(row.path)) for row in same.collect()]))
+            frames.append(reader.csv(files))
     if not frames:
         return spark.createDataFrame([], _text_schema([*_raw_names(), SOURCE_FILE]))
     return _together([_with_source(frame) for frame in frames])
