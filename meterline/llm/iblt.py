@@ -34,8 +34,8 @@ _GROUP = ["k", "pair", "size", "cell"]
 
 def digests(text: Column, words: int = WORDS) -> Column:
     """The set of paragraph digests of a text."""
-    runs = F.regexp_extract_all(text, F.lit(rf"(?:\S++[^\S\n]*+){{1,{words}}}"), F.lit(0))
-    return F.array_distinct(F.transform(runs, lambda run: F.xxhash64(F.rtrim(run))))
+    runs = F.regexp_extract_all(text, F.lit(rf"\S++(?:[^\S\n]++\S++){{0,{words - 1}}}"), F.lit(0))
+    return F.array_distinct(F.transform(runs, lambda run: F.xxhash64(run)))
 
 
 def _check(digest: Column) -> Column:
