@@ -6,7 +6,7 @@ that a conversation with a third of all turns is never gathered: the text of a p
 (turn, copy). ``loss_from`` and ``loss_to`` mark the characters of a rendered turn that are trained on: what the
 assistant says in a completion, with the end mark. They are null elsewhere (masked).
 
-Pairing counts within blocks of 4096 ids, so that a first turn shared by a third of all conversations is paired in
+Pairing counts within blocks of 256 ids, so that a first turn shared by a third of all conversations is paired in
 many tasks; what is left over in the blocks is paired in a second round, at most one conversation a block.
 
 Defined results: null roles and texts are empty; turns are ordered by (turn, role, text) with nulls first, so that
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import stored
 
-BLOCK = 4096
+BLOCK = 256
 END = "<|end|>\n"
 
 

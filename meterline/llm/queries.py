@@ -94,7 +94,7 @@ WITH bodies AS (
          min(page_id) OVER (PARTITION BY sha1(body)) AS response_id
   FROM bodies
 ), bits AS (
-  SELECT *, list_aggregate(list_transform(string_split(hex, ''), c -> CASE c
+  SELECT *, list_aggregate(list_transform(string_split(hex, ''), lambda c : CASE c
     WHEN '0' THEN '0000' WHEN '1' THEN '0001' WHEN '2' THEN '0010' WHEN '3' THEN '0011'
     WHEN '4' THEN '0100' WHEN '5' THEN '0101' WHEN '6' THEN '0110' WHEN '7' THEN '0111'
     WHEN '8' THEN '1000' WHEN '9' THEN '1001' WHEN 'a' THEN '1010' WHEN 'b' THEN '1011'
@@ -102,7 +102,7 @@ WITH bodies AS (
   FROM keyed
 )
 SELECT page_id, payload_bytes,
-       list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(0, 32), lambda i : substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + 16 * CAST(substr(bit, CAST(5 * i + 1 AS BIGINT), 1) AS INT) + 8 * CAST(substr(bit, CAST(5 * i + 2 AS BIGINT), 1) AS INT)
            + 4 * CAST(substr(bit, CAST(5 * i + 3 AS BIGINT), 1) AS INT) + 2 * CAST(substr(bit, CAST(5 * i + 4 AS BIGINT), 1) AS INT)
            + CAST(substr(bit, CAST(5 * i + 5 AS BIGINT), 1) AS INT), 1)), 'string_agg', '') AS payload_digest,
@@ -123,7 +123,7 @@ WITH t AS (
 ), n1 AS (
   SELECT conv_id, role, text,
          row_number() OVER w AS rn, lead(conv_id) OVER w AS after, lag(conv_id) OVER w AS before
-  FROM o WINDOW w AS (PARTITION BY role, text, conv_id // 4096 ORDER BY conv_id)
+  FROM o WINDOW w AS (PARTITION BY role, text, conv_id // 256 ORDER BY conv_id)
 ), p1 AS (
   SELECT conv_id, role, text, (rn - 1) % 2 AS side, CASE WHEN (rn - 1) % 2 = 0 THEN after ELSE before END AS other FROM n1
 ), n2 AS (
