@@ -255,12 +255,14 @@ def _compared(versions: DataFrame, fixed: int) -> DataFrame:
     }
     differ = peels.groupBy("k").agg(*[c.alias(n) for n, c in parts.items()])
 
-    def near(pair: str, own: str, other: str) -> Column:
-        common = F.size(own) - F.coalesce(F.col(f"{pair}_plus"), F.lit(0))
-        every = F.size(own) + F.coalesce(F.col(f"{pair}_minus"), F.lit(0))
+    def near(pair: str, own: str) -> Column:
+        common = F.col(own) - F.coalesce(F.col(f"{pair}_plus"), F.lit(0))
+        every = F.col(own) + F.coalesce(F.col(f"{pair}_minus"), F.lit(0))
         return F.when(every == 0, 1.0).otherwise(common / every).cast("double")
 
-    full = versions.join(prints, "k", "left").join(differ, "k", "left")
+    # The digests themselves stay where they are; only their number is joined.
+    counted = versions.select("k", "doc_id", "copies", "n_chars", "edited_sha256", F.size("own").alias("own_digests"))
+    full = counted.join(prints, "k", "left").join(differ, "k", "left")
     return full.select(
         "doc_id",
         "copies",
@@ -268,6 +270,6 @@ def _compared(versions: DataFrame, fixed: int) -> DataFrame:
         "edited_sha256",
         F.coalesce("fingerprint", F.lit("empty")).alias("fingerprint"),
         F.coalesce("edited_fingerprint", F.lit("empty")).alias("edited_fingerprint"),
-        near("edited", "own", "changed").alias("near_edited"),
-        near("next", "own", "next").alias("near_next"),
+        near("edited", "own_digests").alias("near_edited"),
+        near("next", "own_digests").alias("near_next"),
     )
