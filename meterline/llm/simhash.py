@@ -422,15 +422,23 @@ def _buckets(nodes: DataFrame, width: int, parts: int) -> DataFrame:
     return nodes.select("node", "bits").mapInArrow(run, "part long, key long, node long, bits binary")
 
 
-def _close(nodes: np.ndarray, bits: np.ndarray, all_up_to: int = 64):
-    """Candidate links in a bucket. In a small one all that are close; in a large one, for each member, its four
-    closest and the four members closest to the bucket's majority, near which the source of many copies lies."""
+_SMALL = 64
+_CHUNK = 1024
+
+
+def _hubs_of(bits: np.ndarray) -> np.ndarray:
+    """The four members closest to the majority of a bucket, near which the source of many copies lies."""
+    spread = np.unpackbits(bits.view(np.uint8).reshape(len(bits), -1), axis=1)
+    middle = np.packbits(spread.mean(axis=0) > 0.5).view(np.uint64)
+    return np.argsort(np.bitwise_count(bits ^ middle).sum(axis=1), kind="stable")[:4]
+
+
+def _close(nodes: np.ndarray, bits: np.ndarray):
+    """First links to try in a bucket: in a small one all that are close, in a larger one, for each member, its four
+    closest and the four hubs. The rest of a larger one is tried by ``_rest``."""
     n = len(nodes)
-    small = n <= all_up_to
-    if not small:
-        spread = np.unpackbits(bits.view(np.uint8).reshape(n, -1), axis=1)
-        middle = np.packbits(spread.mean(axis=0) > 0.5).view(np.uint64)
-        hubs = np.argsort(np.bitwise_count(bits ^ middle).sum(axis=1), kind="stable")[:4]
+    small = n <= _SMALL
+    hubs = None if small else _hubs_of(bits)
     left, right = [], []
     for at in range(0, n, 128):
         apart = np.bitwise_count(bits[at : at + 128, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int16)
@@ -448,54 +456,127 @@ def _close(nodes: np.ndarray, bits: np.ndarray, all_up_to: int = 64):
     return np.concatenate(left), np.concatenate(right)
 
 
+def _as_bits(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each group, where a partition is sorted by the keys."""
+    kept: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        kept += [batch] if batch is not None and batch.num_rows else []
+        if not kept or (batch is not None and not batch.num_rows):
+            continue
+        rows = pa.Table.from_batches(kept).combine_chunks()
+        change = np.zeros(rows.num_rows - 1, bool)
+        for key in keys:
+            values = rows[key].to_numpy()
+            change |= values[1:] != values[:-1]
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        stops = [*starts[1:], rows.num_rows]
+        last = batch is None
+        for a, b in zip(starts if last else starts[:-1], stops, strict=False):
+            yield rows.slice(a, b - a)
+        kept = [] if last else rows.slice(starts[-1]).combine_chunks().to_batches()
+
+
+def _ordered(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+
+def _by_group(buckets: DataFrame, *keys: str) -> DataFrame:
+    return buckets.repartition(*keys).sortWithinPartitions(*keys)
+
+
 def _candidates(buckets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for batch in itertools.chain(batches, [None]):
-            parts = [b for b in (kept, batch) if b is not None and b.num_rows]
-            if not parts:
-                continue
-            rows = pa.Table.from_batches(parts).combine_chunks()
-            place, node = rows["place"].to_numpy(), rows["node"].to_numpy()
-            bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(node), -1)
-            starts = np.append(0, np.flatnonzero(place[1:] != place[:-1]) + 1)
-            whole = len(node) if batch is None else int(starts[-1])
-            kept = rows.slice(whole).to_batches()[0] if whole < len(node) else None
-            stops = np.append(starts[1:], len(node))
-            found = [_close(node[a:b], bits[a:b]) for a, b in zip(starts, stops, strict=True) if b <= whole and b - a > 1]
-            if found:
-                u, v = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"]
-                )
+        for rows in _whole_groups(batches, "place"):
+            if rows.num_rows > 1:
+                u, v = _close(rows["node"].to_numpy(), _as_bits(rows["bits"]))
+                if len(u):
+                    yield _ordered(u, v)
 
-    dealt = buckets.select("place", "node", "bits").repartition("place").sortWithinPartitions("place", "node")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return _by_group(buckets.select("place", "node", "bits"), "place").mapInArrow(run, "u long, v long").distinct()
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
-    """Links between nodes whose shingle sets have a Jaccard similarity of ``SIMILAR`` or more.
+def _hubs(chunks: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, "place"):
+            yield from rows.take(_hubs_of(_as_bits(rows["bits"]))).select(["whole", "node", "bits"]).to_batches()
+
+    chosen = _by_group(chunks.select("place", "whole", "node", "bits"), "place")
+    return chosen.mapInArrow(run, "place long, node long, bits binary")
 
-    A bucket above ``bucket_rows`` is dealt again by its bits and those of each of the next four partitions."""
-    found, level = None, stored(_buckets(nodes, width, parts).withColumn("place", F.xxhash64("part", "key")), "similar-probes")
-    first = level
+
+def _first_candidates(buckets: DataFrame, bucket_rows: int) -> DataFrame:
+    """Buckets above ``bucket_rows`` are tried in chunks; then the hubs of their chunks form a bucket, and so on."""
+    found, level = None, buckets
     while True:
-        sizes = level.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("place")
-        large = stored(sizes, "similar-large")
+        sizes = level.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+        large = stored(sizes.where(F.col("n") > bucket_rows), "similar-large")
         if large.isEmpty():
             done = _candidates(level)
-            found = done if found is None else found.union(done)
-            break
-        done = _candidates(level.join(large, "place", "left_anti"))
+            return done if found is None else found.union(done)
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _CHUNK))
+        chunks = level.join(large, "place").select(
+            F.xxhash64("place", part).alias("place"), F.col("place").alias("whole"), "node", "bits"
+        )
+        chunks = stored(chunks, "similar-chunks")
+        done = _candidates(level.join(large, "place", "left_anti")).union(_candidates(chunks))
         found = done if found is None else found.union(done)
-        again = level.join(large, "place", "left_semi").select("place", "node", "bits", "part")
-        again = again.select("place", "node", "bits", F.explode(F.sequence(F.col("part") + 1, F.col("part") + 4)).alias("part"))
-        again = again.withColumn("part", F.col("part") % parts)
-        more = first.select("node", "part", F.col("key").alias("key"))
-        level = again.join(more, ["node", "part"]).select("part", "key", "node", "bits", F.xxhash64("place", "part", "key").alias("place"))
-        level = stored(level, "similar-probes")
-    links_ = stored(found.distinct(), "similar-candidates")
-    return _verified_similarity(docs, nodes, links_, shingle)
+        level = stored(_hubs(chunks), "similar-hubs")
+
+
+def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """All close pairs of the larger buckets whose members the links found so far do not connect.
+
+    Most of a large bucket is one component, its main one. Members outside it are compared with all members, in
+    blocks of bounded size, so the work is their number times the size of the bucket and no task holds a bucket."""
+    sizes = buckets.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _SMALL)
+    rows = buckets.join(sizes, "place").join(roots, "node", "left")
+    rows = stored(rows.select("place", "n", "node", "bits", F.coalesce("root", "node").alias("root")), "similar-rooted")
+    shares = rows.groupBy("place", "root").agg(F.count(F.lit(1)).alias("k"))
+    mains = shares.groupBy("place").agg(F.max_by("root", F.struct("k", "root")).alias("main"), (F.sum("k") - F.max("k")).alias("others"))
+    mains = stored(mains.where("others > 0"), "similar-mains")
+    rows = rows.join(mains, "place").withColumns({
+        "down": F.ceil(F.col("n") / _CHUNK), "across": F.ceil(F.col("others") / _CHUNK),
+    })
+
+    def blocks(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    salt = F.xxhash64("node")
+    members = rows.select("place", "node", "bits", "root", F.pmod(salt, "down").alias("i"), blocks("across").alias("j"), F.lit(False).alias("outside"))
+    outside = rows.where("root != main").select(
+        "place", "node", "bits", "root", blocks("down").alias("i"), F.pmod(salt, "across").alias("j"), F.lit(True).alias("outside")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, "place", "i", "j"):
+            node, root, bits = rows["node"].to_numpy(), rows["root"].to_numpy(), _as_bits(rows["bits"])
+            out = rows["outside"].to_numpy()
+            a, b = np.flatnonzero(out), np.flatnonzero(~out)
+            for at in range(0, len(a), 128):
+                some = a[at : at + 128]
+                apart = np.bitwise_count(bits[some, None, :] ^ bits[None, b, :]).sum(axis=2, dtype=np.int16)
+                x, y = np.nonzero((apart <= _LOOSE) & (root[some, None] != root[None, b]))
+                if len(x):
+                    yield _ordered(node[some[x]], node[b[y]])
+
+    return _by_group(members.union(outside), "place", "i", "j").mapInArrow(run, "u long, v long").distinct()
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
+    """Links (u < v) that connect what pairs with a Jaccard similarity of ``SIMILAR`` or more connect, of all pairs
+    that share a bucket and are close in their bits."""
+    buckets = stored(_buckets(nodes, width, parts).withColumn("place", F.xxhash64("part", "key")), "similar-probes")
+    tried = stored(_first_candidates(buckets, bucket_rows).distinct(), "similar-candidates")
+    first = stored(_verified_similarity(docs, nodes, tried, shingle), "similar-links")
+    roots = stored(components(first), "similar-roots")
+    rest = stored(_rest(buckets, roots).join(tried, ["u", "v"], "left_anti"), "similar-rest")
+    if rest.isEmpty():
+        return first
+    return first.union(_verified_similarity(docs, nodes, rest, shingle))
 
 
 def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:

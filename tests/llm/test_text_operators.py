@@ -121,6 +121,28 @@ def test_near_copies_by_similarity(spark):
     assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
+@pytest.mark.parametrize("bucket_rows", [40, 2048])
+def test_near_copies_in_large_buckets(spark, bucket_rows):
+    draw = random.Random(2)
+    first = sentence(draw, "en", 120).split()
+    second = first[:50] + sentence(draw, "en", 12).split() + first[62:]  # like the first, but not enough
+    texts = [" ".join(first), " ".join(second), sentence(draw, "fr", 90)]
+    for k in range(160):
+        base, at = (first, second)[k % 2], draw.randrange(120)
+        texts.append(" ".join(base[:at] + [f"other{k}"] + base[at + 1 :]))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    least = list(range(len(texts)))
+    for _ in range(4):
+        for i, a in enumerate(sets):
+            near = [j for j, b in enumerate(sets) if len(a & b) >= 0.8 * len(a | b)]
+            low = min(least[j] for j in near)
+            for j in near:
+                least[j] = low
+    assert len(set(least)) == 3
+    docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in enumerate(texts)])
+    assert dict(_collected(simhash.similar_documents(docs, bucket_rows=bucket_rows))) == dict(enumerate(least))
+
+
 # --- language
 
 
