@@ -21,13 +21,14 @@ def compact_trips(
 
     The source stays as it is, so a reader never sees a half-written partition and a lost job loses
     nothing: point the table at the new folder once the copy is there. Files of several ingest
-    batches of a day are merged. Returns the rows copied.
+    batches of a day are merged into one, so later batches can be ingested beside it. Returns the rows copied.
     """
     trips = layers.read_processed(spark, source).filter(F.expr(where))
     (
         layers.by_partition(trips, *DAY_KEYS)
+        .withColumn(layers.INGEST_BATCH, F.lit("compacted"))
         .write.mode("errorifexists")
-        .partitionBy(*DAY_KEYS)
+        .partitionBy(*DAY_KEYS, layers.INGEST_BATCH)
         .option("compression", compression)
         .option("maxRecordsPerFile", max_records_per_file)
         .parquet(target)

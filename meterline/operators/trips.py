@@ -38,8 +38,8 @@ def typed_trips(raw: DataFrame, *carried: str | Column) -> DataFrame:
 
 
 def raw_row(raw: DataFrame) -> Column:
-    """The raw record as JSON text, whatever columns its file had."""
-    return F.to_json(F.struct(*[F.col(name) for name in raw.columns])).alias("raw_record")
+    """The raw record, whatever columns its file had."""
+    return F.struct(*[F.col(name) for name in raw.columns]).alias("raw_record")
 
 
 def with_metrics(trips: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from meterline.plans import curated
 from meterline.session import shared_folder
 from meterline.sources import layers
 from meterline.sources.layers import Lake
-from meterline.sources.schemas import MONTH_KEYS
 from meterline.streaming.ingest import ingest_new_files
 
 Month = tuple[int, int]
@@ -48,19 +47,40 @@ def rebuild_curated(
     return True
 
 
+def _audit(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    return layers.if_present(lambda: layers.read_batches(spark, lake.audit))
+
+
 def months_of_batches(spark: SparkSession, lake: Lake, batches: Sequence[str]) -> list[Month]:
-    """Months that ingest batches wrote to; a handful of rows, found from partition folders."""
-    trips = layers.if_present(lambda: layers.read_batches(spark, lake.processed))
-    if trips is None:
+    """Months that ingest batches wrote to, as their audit rows tell."""
+    audit = _audit(spark, lake)
+    if audit is None:
+        return []
+    months = audit.filter(F.col(layers.INGEST_BATCH).isin(*batches)).select(F.explode("months").alias("m"))
+    return [(row.m // 100, row.m % 100) for row in months.distinct().orderBy("m").collect()]
+
+
+def batches_to_rebuild(spark: SparkSession, lake: Lake) -> list[str]:
+    """Ingested batches that no complete rebuild has covered, such as those of a run that failed between the two."""
+    audit = _audit(spark, lake)
+    if audit is None:
         return []
-    written = trips.filter(F.col(layers.INGEST_BATCH).isin(*batches))
-    return [tuple(row) for row in written.select(*MONTH_KEYS).distinct().collect()]
+    known = audit.select(layers.INGEST_BATCH)
+    rebuilt = layers.if_present(lambda: spark.read.schema(f"{layers.INGEST_BATCH} STRING").parquet(lake.rebuilt))
+    if rebuilt is not None:
+        known = known.join(rebuilt, layers.INGEST_BATCH, "left_anti")
+    return sorted(row[0] for row in known.distinct().collect())
 
 
 def refresh(spark: SparkSession, lake: Lake, only_new_months: bool = False) -> list[str]:
-    """Ingest new raw files, then rebuild the curated tables if there were any."""
+    """Ingest new raw files, then rebuild the curated tables if any batch is not in them yet.
+
+    A batch is noted once all four tables are written, so a refresh after a failed one makes up for it."""
     batches = ingest_new_files(spark, lake)
-    if batches:
-        months = months_of_batches(spark, lake, batches) if only_new_months else None
+    pending = batches_to_rebuild(spark, lake)
+    if pending:
+        months = months_of_batches(spark, lake, pending) if only_new_months else None
         rebuild_curated(spark, lake, months)
+        noted = spark.createDataFrame([(name,) for name in pending], f"{layers.INGEST_BATCH} STRING")
+        noted.coalesce(1).write.mode("append").parquet(lake.rebuilt)
     return batches

@@ -16,12 +16,30 @@ RAW_NAME = "raw_taxi_trips"
 
 
 def raw_table_ddl(database: str, location: str) -> str:
+    """CSV tables match columns by position, so files with another header fail; ``raw_view`` reads them by name."""
     return f"""
         CREATE TABLE IF NOT EXISTS {database}.{RAW_NAME} ({RAW_TABLE})
-        USING csv OPTIONS (header 'true', sep ',') LOCATION '{location}'
+        USING csv OPTIONS (header 'true', sep ',', enforceSchema 'false', recursiveFileLookup 'true')
+        LOCATION '{location}'
     """
 
 
+def raw_view(spark: SparkSession, lake: Lake, name: str = RAW_NAME) -> DataFrame:
+    """The columns of the raw table by header name, from raw files of every layout and format, as a view of the
+    session. A column that no file has is NULL, and so is text that does not parse."""
+    raw = raw_files.read_raw(spark, lake.raw)
+    have = {column.lower(): column for column in raw.columns}
+    columns = [
+        F.col(have[field.name.lower()]).try_cast(field.dataType).alias(field.name)
+        if field.name.lower() in have
+        else F.lit(None).cast(field.dataType).alias(field.name)
+        for field in T.StructType.fromDDL(RAW_TABLE)
+    ]
+    view = raw.select(*columns)
+    view.createOrReplaceTempView(name)
+    return view
+
+
 def parquet_table_ddl(
     database: str, table: str, location: str, with_batches: bool = False
 ) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -38,6 +39,10 @@ class Lake:
     def attempts(self) -> str:
         return f"{self.root}/bookmarks/attempts"
 
+    @property
+    def rebuilt(self) -> str:
+        return f"{self.root}/audit/rebuilt"
+
     @property
     def bookmark(self) -> str:
         return f"{self.root}/bookmarks/raw"
@@ -58,7 +63,9 @@ def by_partition(frame: DataFrame, *keys: str) -> DataFrame:
 
 
 def append_processed(trips: DataFrame, path: str, compression: str = "snappy") -> None:
-    writer = by_partition(trips, *DAY_KEYS).write.mode("append").partitionBy(*DAY_KEYS)
+    """Append trips as a batch of their own, in the partition levels that incremental ingest writes."""
+    tagged = by_partition(trips, *DAY_KEYS).withColumn(INGEST_BATCH, F.lit(f"load-{uuid.uuid4().hex}"))
+    writer = tagged.write.mode("append").partitionBy(*DAY_KEYS, INGEST_BATCH)
     writer.option("compression", compression).parquet(path)
 
 

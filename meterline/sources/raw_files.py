@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,11 +53,11 @@ def file_notices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return reader.load(paths).select("path", suffix.alias("format"))
 
 
-def new_file_stream(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+def new_file_stream(spark: SparkSession, path: str, max_bytes: int) -> DataFrame:
     """A stream with one row per file that has not been seen before, oldest first."""
     options = {
         **file_options(),
-        "maxFilesPerTrigger": max_files,
+        "maxBytesPerTrigger": max_bytes,
         # The default leaves out files a week older than the newest one seen, such as a late copy.
         "maxFileAge": "36500d",
     }
@@ -134,10 +136,26 @@ def read_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return _with_source(reader.option("columnNameOfCorruptRecord", _BAD_JSON).json(paths))
 
 
+def _merged(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """Frames whose files have types that merge, each as text. Where the types of a column differ, the files are
+    halved in the order of names, which for dated files finds the change in few steps."""
+    try:
+        reader = spark.read.options(**file_options("parquet")).option("mergeSchema", True)
+        frame = _with_source(reader.parquet(*paths))
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        notices = file_notices(spark, list(paths)).where("format = 'parquet'").select("path")
+        files = sorted(literal_path(unquote(row.path)) for row in notices.collect())
+        if len(files) < 2:
+            raise
+        half = len(files) // 2
+        return _merged(spark, files[:half]) + _merged(spark, files[half:])
+    return [frame.select(*[F.col(name).cast("string").alias(name) for name in frame.columns])]
+
+
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    reader = spark.read.options(**file_options("parquet")).option("mergeSchema", True)
-    frame = _with_source(reader.parquet(*([paths] if isinstance(paths, str) else paths)))
-    return frame.select(*[F.col(name).cast("string").alias(name) for name in frame.columns])
+    return _together(_merged(spark, [paths] if isinstance(paths, str) else paths))
 
 
 _READERS = {"csv": read_csv, "json": read_json, "parquet": read_parquet}

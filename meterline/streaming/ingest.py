@@ -20,35 +20,42 @@ from meterline.sources import layers, raw_files
 from meterline.sources.layers import Lake
 from meterline.sources.schemas import DAY_KEYS
 
+MAX_BYTES_PER_BATCH = 256 << 30
 MAX_FILES_PER_BATCH = 10_000
 
 
 def judged_trips(raw: DataFrame) -> DataFrame:
-    """Typed trips with a verdict; the raw record and its file stay only on rejected rows."""
+    """Typed trips with a verdict; rejected rows alone have the raw record, as JSON text, and its file."""
     raw_record = trips.raw_row(raw.drop(raw_files.SOURCE_FILE))
     typed = trips.typed_trips(raw, raw_record, raw_files.SOURCE_FILE)
     judged = typed.withColumn("is_kept", quality.all_met())
     only_rejected = {
-        name: F.when(~F.col("is_kept"), F.col(name))
-        for name in ("raw_record", raw_files.SOURCE_FILE)
+        "raw_record": F.when(~F.col("is_kept"), F.to_json("raw_record")),
+        raw_files.SOURCE_FILE: F.when(~F.col("is_kept"), F.col(raw_files.SOURCE_FILE)),
     }
     return judged.withColumns(only_rejected)
 
 
-def _statistics(judged: DataFrame) -> dict[str, int]:
+def _statistics(judged: DataFrame) -> dict[str, int | list[int]]:
+    """Counts, and the months of kept trips as yyyymm; a handful."""
+    pickup = F.col("pickup_datetime")
+    month = F.year(pickup) * 100 + F.month(pickup)
     row = judged.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if("is_kept").alias("rows_kept"),
         F.count_if(~F.col("is_kept")).alias("rows_rejected"),
+        F.sort_array(F.collect_set(F.when(F.col("is_kept"), month))).alias("months"),
     ).first()
     return row.asDict()
 
 
-def ingest_files(spark: SparkSession, lake: Lake, paths: list[str], batch: str) -> dict[str, int]:
+def ingest_files(
+    spark: SparkSession, lake: Lake, paths: list[str], batch: str
+) -> dict[str, int | list[int]]:
     """Process the named files as one batch and return its statistics."""
     raw = raw_files.read_raw(spark, [raw_files.literal_path(path) for path in paths])
-    # Parsed once for counts, trips and rejects. The size of a batch is bounded by the file limit,
-    # and blocks lost with an executor are parsed again.
+    # Parsed once for counts, trips and rejects. A batch is bounded in bytes and in files, and blocks
+    # lost with an executor are parsed again.
     judged = judged_trips(raw).persist(StorageLevel.MEMORY_AND_DISK)
     again = _tried_before(spark, lake, batch)
     try:
@@ -78,34 +85,40 @@ def _tried_before(spark: SparkSession, lake: Lake, batch: str) -> bool:
 
 
 def _write_audit(
-    spark: SparkSession, lake: Lake, batch: str, files: int, found: dict[str, int]
+    spark: SparkSession, lake: Lake, batch: str, files: int, found: dict[str, int | list[int]]
 ) -> None:
+    kinds = {name: "array<int>" if isinstance(value, list) else "bigint" for name, value in found.items()}
     entry = spark.range(1).select(
         F.lit(files).cast("bigint").alias("files"),
-        *[F.lit(value).cast("bigint").alias(name) for name, value in found.items()],
+        *[F.lit(value).cast(kinds[name]).alias(name) for name, value in found.items()],
         F.current_timestamp().alias("finished_at"),
     )
     layers.write_ingest_batch(entry, lake.audit, batch)
 
 
 def ingest_new_files(
-    spark: SparkSession, lake: Lake, max_files: int = MAX_FILES_PER_BATCH
+    spark: SparkSession,
+    lake: Lake,
+    max_files: int = MAX_FILES_PER_BATCH,
+    max_bytes: int = MAX_BYTES_PER_BATCH,
 ) -> list[str]:
-    """Process every raw file that has not been read yet; return the tags of the batches."""
+    """Process every raw file that has not been read yet; return the tags of the batches.
+
+    A micro-batch takes files of ``max_bytes`` in all and is cut into batches of ``max_files``, in the
+    order of names, so a replay cuts it alike. A file rewritten under the same name is not read again.
+    """
     started, stream_id, done = threading.Event(), [], []
 
     def run_batch(notices: DataFrame, number: int) -> None:
-        # One row per file, and no more than the limit of a batch.
-        paths = [row.path for row in notices.collect()]
-        if not paths:
-            return
+        paths = sorted(row.path for row in notices.collect())  # names only, of one micro-batch
         started.wait()
-        batch = f"{stream_id[0]}-{number}"
-        ingest_files(spark, lake, paths, batch)
-        done.append(batch)
+        for at in range(0, len(paths), max_files):
+            batch = f"{stream_id[0]}-{number}" + (f"-{at // max_files}" if at else "")
+            ingest_files(spark, lake, paths[at : at + max_files], batch)
+            done.append(batch)
 
     query = (
-        raw_files.new_file_stream(spark, lake.raw, max_files)
+        raw_files.new_file_stream(spark, lake.raw, max_bytes)
         .writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", lake.bookmark)
         .trigger(availableNow=True)

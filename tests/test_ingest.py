@@ -6,12 +6,13 @@ import time
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from meterline.operators import compaction
 from meterline.plans import refresh
 from meterline.sources import layers
 from meterline.sources.layers import INGEST_BATCH, Lake
 from meterline.streaming import ingest
 from tests.test_sources import write
-from tests.trip_rows import HEADER, LINE
+from tests.trip_rows import HEADER, LINE, processed
 
 BAD_LINE = LINE.replace("2024-01-15 10:30:00", "junk").replace(",2,", ",9,")
 FEBRUARY = LINE.replace("2024-01-15", "2024-02-20")
@@ -123,6 +124,41 @@ def test_refresh_rebuilds_curated_tables(spark, lake):
     assert not refresh.rebuild_curated(spark, lake, months=[(1999, 1)])
 
 
+@pytest.mark.parametrize("only_new_months", [False, True])
+def test_a_refresh_makes_up_for_a_failed_rebuild(spark, lake, monkeypatch, only_new_months):
+    write(f"{lake.raw}/a.csv", HEADER, LINE)
+    refresh.refresh(spark, lake)
+    write(f"{lake.raw}/b.csv", HEADER, FEBRUARY)
+    real, calls = layers.write_curated, []
+
+    def crash(*arguments):
+        calls.append(arguments)
+        if len(calls) == 3:
+            raise OSError("lost between the writes")
+        real(*arguments)
+
+    monkeypatch.setattr(layers, "write_curated", crash)
+    with pytest.raises(OSError):
+        refresh.refresh(spark, lake, only_new_months)
+    monkeypatch.setattr(layers, "write_curated", real)
+    assert len(refresh.batches_to_rebuild(spark, lake)) == 1
+    assert refresh.refresh(spark, lake, only_new_months) == []
+    for table in ("hourly_trip_patterns", "payment_type_analysis", "distance_distribution"):
+        assert layers.read_curated(spark, lake, table).count() == 2
+    assert refresh.batches_to_rebuild(spark, lake) == []
+
+
+def test_loads_ingest_and_compaction_share_a_layout(spark, lake, tmp_path):
+    layers.append_processed(processed(spark), lake.processed)
+    write(f"{lake.raw}/a.csv", HEADER, LINE, FEBRUARY)
+    ingest.ingest_new_files(spark, lake)
+    assert kept(spark, lake) == 3
+    copy = Lake(f"{tmp_path}/second", raw=lake.raw)
+    assert compaction.compact_trips(spark, lake.processed, copy.processed) == 3
+    layers.append_processed(processed(spark), copy.processed)
+    assert kept(spark, copy) == 4
+
+
 def test_a_hot_day_is_split_over_tasks(spark, tmp_path):
     """A day with nearly all trips must be written by several tasks."""
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -140,6 +176,7 @@ def test_a_hot_day_is_split_over_tasks(spark, tmp_path):
         layers.append_processed(trips, f"{tmp_path}/p")
     finally:
         spark.conf.set(size, before)
-    hot = os.listdir(f"{tmp_path}/p/year=2024/month=1/day=15")
+    (load,) = os.listdir(f"{tmp_path}/p/year=2024/month=1/day=15")
+    hot = os.listdir(f"{tmp_path}/p/year=2024/month=1/day=15/{load}")
     assert len([name for name in hot if name.endswith(".parquet")]) >= 4
     assert spark.read.parquet(f"{tmp_path}/p").count() == 400_000

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.operators import trips
 from meterline.plans import curated, reports
@@ -72,6 +73,16 @@ def test_formats_agree(spark, tmp_path):
     assert trips.processed_trips(raw_files.read_raw(spark, str(tmp_path))).count() == 9
 
 
+def test_parquet_types_that_differ_by_month(spark, tmp_path):
+    """Published files have a column as BIGINT in some months and as DOUBLE in others."""
+    for month, kind in enumerate(["BIGINT", "BIGINT", "DOUBLE", "BIGINT", "DOUBLE"], 1):
+        rows = raw(spark).withColumn("passenger_count", F.expr(f"CAST(passenger_count AS {kind})"))
+        rows.coalesce(1).write.parquet(f"{tmp_path}/a b/2024-0{month}")
+    found = raw_files.read_raw(spark, str(tmp_path))
+    assert found.count() == 5
+    assert {row.passenger_count for row in trips.processed_trips(found).collect()} == {2}
+
+
 def test_bad_json_line_keeps_its_text(spark, tmp_path):
     write(tmp_path / "a.json", json.dumps(GOOD), "{not json")
     rows = raw_files.read_raw(spark, str(tmp_path)).collect()
@@ -109,7 +120,8 @@ def test_compression(spark, tmp_path, codec):
     layers.append_processed(processed(spark), f"{tmp_path}/p", compression=codec)
     day = f"{tmp_path}/p/year=2024/month=1/day=15"
     suffix = "gz" if codec == "gzip" else codec
-    assert [name for name in os.listdir(day) if name.endswith(f".{suffix}.parquet")]
+    (load,) = os.listdir(day)
+    assert [name for name in os.listdir(f"{day}/{load}") if name.endswith(f".{suffix}.parquet")]
 
 
 def test_batches_replace_only_themselves(spark, tmp_path):

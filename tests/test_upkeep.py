@@ -54,6 +54,20 @@ def test_raw_table_skips_the_header(spark, tmp_path):
     spark.sql("DROP DATABASE raw_db CASCADE")
 
 
+def test_raw_columns_by_name(spark, tmp_path):
+    """A file with another column order fails in the table, which goes by position, and is right in the view."""
+    write(f"{tmp_path}/deep/a.csv", HEADER, LINE)
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw_db")
+    spark.sql(catalog.raw_table_ddl("raw_db", str(tmp_path)))
+    with pytest.raises(Exception, match="header"):
+        spark.table(f"raw_db.{catalog.RAW_NAME}").collect()
+    spark.sql("DROP DATABASE raw_db CASCADE")
+    catalog.raw_view(spark, Lake(f"{tmp_path}/lake", raw=str(tmp_path)), "raw_by_name")
+    (row,) = spark.table("raw_by_name").collect()
+    assert (row.tpep_pickup_datetime, row.fare_amount, row.extra) == ("2024-01-15 10:00:00", 25.5, None)
+    spark.catalog.dropTempView("raw_by_name")
+
+
 def test_partition_filter_on_table_prunes(spark, lake):
     frame = spark.table(f"{DATABASE}.processed_taxi_trips").filter("year = 2024 AND day = 15")
     assert frame.count() == 4
@@ -109,7 +123,7 @@ def test_compaction_merges_files(spark, lake, tmp_path):
     target = f"{tmp_path}/compacted"
     rows = compaction.compact_trips(spark, lake.processed, target, "year = 2024 AND day = 15")
     assert rows == 4
-    day = f"{target}/year=2024/month=1/day=15"
+    day = f"{target}/year=2024/month=1/day=15/ingest_batch=compacted"
     assert len([name for name in os.listdir(day) if name.endswith(".parquet")]) == 1
     assert not os.path.exists(f"{target}/year=2024/month=1/day=14")
     assert layers.read_processed(spark, lake.processed).count() == 8
