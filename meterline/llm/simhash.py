@@ -566,17 +566,19 @@ def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return _by_group(members.union(outside), "place", "i", "j").mapInArrow(run, "u long, v long").distinct()
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
-    """Links (u < v) that connect what pairs with a Jaccard similarity of ``SIMILAR`` or more connect, of all pairs
-    that share a bucket and are close in their bits."""
+def similar_roots(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
+    """(node, root) of what pairs with a Jaccard similarity of ``SIMILAR`` or more connect, of all pairs that share a
+    bucket and are close in their bits."""
     buckets = stored(_buckets(nodes, width, parts).withColumn("place", F.xxhash64("part", "key")), "similar-probes")
     tried = stored(_first_candidates(buckets, bucket_rows).distinct(), "similar-candidates")
     first = stored(_verified_similarity(docs, nodes, tried, shingle), "similar-links")
     roots = stored(components(first), "similar-roots")
     rest = stored(_rest(buckets, roots).join(tried, ["u", "v"], "left_anti"), "similar-rest")
-    if rest.isEmpty():
-        return first
-    return first.union(_verified_similarity(docs, nodes, rest, shingle))
+    more = stored(_verified_similarity(docs, nodes, rest, shingle), "similar-more")
+    if more.isEmpty():
+        return roots
+    stars = roots.where("node != root").select(F.col("root").alias("u"), F.col("node").alias("v"))
+    return components(stars.union(more))  # from stars, so in few rounds
 
 
 def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
@@ -618,8 +620,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048
     wide = stored(_wide(docs, shingle, max(_CHECKED // BITS, -(-width * parts // BITS))), "wide-prints")
     nodes = wide.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("bits").alias("bits"))
     nodes = stored(nodes, "similar-nodes")
-    linked = components(similar_links(docs, nodes, width, parts, shingle, bucket_rows))
-    linked = linked.withColumnRenamed("node", "of")
+    linked = similar_roots(docs, nodes, width, parts, shingle, bucket_rows).withColumnRenamed("node", "of")
     rooted = nodes.join(linked, F.col("node") == F.col("of"), "left").select(
         "node", "least_id", F.coalesce("root", "node").alias("root")
     )
