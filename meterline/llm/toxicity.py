@@ -101,11 +101,11 @@ def apply_chain(x: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
     return np.round(found, 9)
 
 
-def _model(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+def _model(x: np.ndarray, y: np.ndarray, ridge: float, start: np.ndarray | None = None) -> np.ndarray:
     if not len(y) or y.min() == y.max():
         share = float(logit(np.array((y.sum() + 0.5) / (len(y) + 1))))
         return np.append(np.zeros(x.shape[1]), share)
-    return fit_logistic(x, y, ridge)
+    return fit_logistic(x, y, ridge, start=start)
 
 
 def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, ridge: float = 1.0) -> list[np.ndarray]:
@@ -114,12 +114,12 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, ridge: float
     for category in range(labels.shape[1]):
         design = np.concatenate([x, np.clip(logit(earlier), -6, 6)], axis=1)
         y = labels[:, category]
-        unseen = np.zeros(len(x))
+        unseen, w = np.zeros(len(x)), None
         for f in range(FOLDS):
             out = fold == f
-            w = _model(design[~out], y[~out], ridge)
+            w = _model(design[~out], y[~out], ridge, w)
             unseen[out] = sigmoid(design[out] @ w[:-1] + w[-1])
-        weights.append(_model(design, y, ridge))
+        weights.append(_model(design, y, ridge, w))
         earlier = np.concatenate([earlier, unseen[:, None]], axis=1)
     return weights
 
