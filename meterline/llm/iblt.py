@@ -136,10 +136,13 @@ def likeness(versions: DataFrame, pairs: dict[str, tuple[str, str, float]], swee
         counts = stored(counts, "peeled")
         done = counts.where("NOT failed").select("k", "pair", "only_plus", "only_minus")
         ready = done if ready is None else ready.union(done)
-        failed = counts.where("failed").select("k", "pair")
+        failed = counts.where("failed")
         if failed.isEmpty():
             break
-        todo = todo.join(failed, ["k", "pair"], "left_semi")
+        # Joined by the bucket key alone: with the pair as a second key all digests would be shuffled.
+        failed = failed.groupBy("k").agg(F.collect_set("pair").alias("again"))
+        again = versions.join(failed, "k").select("k", F.filter(sides, lambda s: F.array_contains("again", s["pair"])).alias("sides"))
+        todo = again.select("k", F.inline("sides"))
         grown *= 2
     return ready
 
