@@ -232,10 +232,25 @@ def edited_fingerprints(docs: DataFrame, words: int = WORDS, fixed: int = FIXED)
     )
     if repeated:
         versions = versions.dropDuplicates(["k"])
-    found = _compared(bucketed(versions, "k", "fingerprint-versions"), fixed)
+    kept = restored(bucketed(shortened(versions), "k", "fingerprint-versions"))
+    found = _compared(kept, fixed)
     return found.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies")
 
 
+def shortened(versions: DataFrame) -> DataFrame:
+    """``changed`` as the number of leading digests that are those of ``own``, and the rest."""
+    differs = F.array_position(F.zip_with("own", "changed", lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    alike = F.when(differs == 0, F.size("own")).otherwise(differs - 1).cast("int")
+    counted = versions.withColumn("alike", alike)
+    return counted.withColumn("rest", F.slice("changed", F.col("alike") + 1, F.size("changed"))).drop("changed")
+
+
+def restored(versions: DataFrame) -> DataFrame:
+    """The inverse of ``shortened``."""
+    changed = F.concat(F.slice("own", F.lit(1), F.col("alike")), F.col("rest"))
+    return versions.withColumn("changed", changed).drop("alike", "rest")
+
+
 def _compared(versions: DataFrame, fixed: int) -> DataFrame:
     nothing = F.array().cast("array<bigint>")
     size = F.lit(fixed).cast("long")
