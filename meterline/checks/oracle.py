@@ -214,6 +214,16 @@ aged AS (
 )"""
 
 
+STORED = (
+    "daily_revenue_trends",
+    "monthly_revenue_summary",
+    "peak_hours",
+    "weekend_vs_weekday",
+    "payment_preferences",
+    "distance_distribution_report",
+)
+
+
 def oracle_queries() -> dict[str, str]:
     broken_list = ", ".join(
         f"CASE WHEN {broken} THEN '{name}' END" for name, broken in _BROKEN.items()
@@ -240,7 +250,7 @@ def oracle_queries() -> dict[str, str]:
     payment = _curated(_PAYMENT, "SELECT * FROM payment")
     distance = _curated(_DISTANCE, "SELECT * FROM distance")
     raw = _with(select="SELECT * FROM raw")
-    return {
+    checks = {
         "raw_scan": raw,
         "raw_csv_scan": raw,
         "typed_trips": _typed("SELECT * FROM typed"),
@@ -399,3 +409,6 @@ def oracle_queries() -> dict[str, str]:
             WHERE age_days > 730""",
         ),
     }
+    # The same results through other formats and through stored tables.
+    checks |= {name: raw for name in ("raw_json_scan", "raw_parquet_scan")}
+    return checks | {f"stored_{name}": checks[name] for name in STORED}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators import lifecycle, profile, quality, trips
-from meterline.plans import curated, reports
+from meterline.plans import curated, refresh, reports
 from meterline.plans.lineitem_trips import raw_trips
 from meterline.session import new_shared_path
 from meterline.sources import layers, raw_files
@@ -67,6 +67,17 @@ def _raw_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return raw_files.read_raw(spark, _raw_as_csv(spark, folder)).select("VendorID", *RAW_USED)
 
 
+def _raw_stored_as(kind: str) -> Query:
+    """The raw trips through files of another format that raw data is published in."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_shared_path(spark, f"raw-{kind}")
+        raw_trips(spark, folder).write.format(kind).save(path)
+        return raw_files.read_raw(spark, path).select("VendorID", *RAW_USED)
+
+    return run
+
+
 def _processed_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = new_shared_path(spark, "processed-trips")
     layers.append_processed(trips.processed_trips(raw_trips(spark, folder)), path)
@@ -79,6 +90,23 @@ def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return layers.read_processed(spark, lake.processed)
 
 
+_refreshed: dict[tuple[str, str], layers.Lake] = {}
+
+
+def _stored(table: curated.CuratedTable, build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report as users run it: raw CSV files, a refresh, and the stored curated table. A session refreshes once a folder."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _refreshed:
+            lake = layers.Lake(new_shared_path(spark, "refreshed"), raw=_raw_as_csv(spark, folder))
+            refresh.refresh(spark, lake)
+            _refreshed[key] = lake
+        return build(layers.read_curated(spark, _refreshed[key], table.name))
+
+    return run
+
+
 def _metrics(frame: DataFrame) -> DataFrame:
     return frame.select(
         "pickup_datetime",
@@ -124,6 +152,8 @@ def _queries() -> dict[str, Query]:
     return {
         "raw_scan": raw_trips,
         "raw_csv_scan": _raw_csv_scan,
+        "raw_json_scan": _raw_stored_as("json"),
+        "raw_parquet_scan": _raw_stored_as("parquet"),
         "typed_trips": _over_typed(lambda typed: typed),
         "quality_filter": _over_typed(quality.kept),
         "derived_metrics": _over_trips(_metrics),
@@ -156,6 +186,12 @@ def _queries() -> dict[str, Query]:
         "distance_distribution_report": _over_table(
             distance, reports.distance_distribution_report
         ),
+        "stored_daily_revenue_trends": _stored(daily, reports.daily_revenue_trends),
+        "stored_monthly_revenue_summary": _stored(daily, reports.monthly_revenue_summary),
+        "stored_peak_hours": _stored(hourly, reports.peak_hours),
+        "stored_weekend_vs_weekday": _stored(hourly, reports.weekend_vs_weekday),
+        "stored_payment_preferences": _stored(payment, reports.payment_preferences),
+        "stored_distance_distribution_report": _stored(distance, reports.distance_distribution_report),
         "high_value_trips": _over_trips(reports.high_value_trips),
         "tip_by_trip_category": _over_trips(reports.tip_by_trip_category),
         "data_quality_check": _over_trips(reports.data_quality_check),
