@@ -158,3 +158,21 @@ def test_order_over_ranges(spark):
     for doc_id in range(100):
         assert got[doc_id].user_chars == chars[doc_id + 1]
     assert got[None].user_chars == chars[0] and got[100].user_chars == 500
+
+
+def test_shortened_versions_are_restored(spark):
+    rows = [
+        (1, [1, 2, 3, 4], [1, 2, 7, 4]),
+        (2, [1, 2], [1, 2]),
+        (3, [], [5]),
+        (4, [5], []),
+        (5, [], []),
+        (6, [1, 2], [1, 2, 3]),
+        (7, [1, 2, 3], [1, 2]),
+    ]
+    frame = spark.createDataFrame(rows, "k long, own array<long>, changed array<long>")
+    short = iblt.shortened(frame)
+    assert {r.k: (r.alike, r.rest) for r in short.collect()} == {
+        1: (2, [7, 4]), 2: (2, []), 3: (0, [5]), 4: (0, []), 5: (0, []), 6: (2, [3]), 7: (2, []),
+    }
+    assert sorted(map(tuple, iblt.restored(short).select("k", "own", "changed").collect())) == rows
