@@ -383,21 +383,33 @@ def probe_width(n: int) -> tuple[int, int]:
     return width, int(np.ceil(np.log(_MISSED) / np.log1p(-(0.85**width))))
 
 
+def _named(docs: DataFrame) -> list[Column]:
+    """What tells rows apart: (no_id, id, copy), none of them null; ``copy`` is a hash of the text."""
+    doc_id = F.col("doc_id").cast("long")
+    copy = F.xxhash64(F.col("text").cast("string"), F.col("text").isNull())
+    return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), copy.alias("copy")]
+
+
+_NAMES = ["no_id", "id", "copy"]
+
+
 def _wide(docs: DataFrame, shingle: int, blocks: int) -> DataFrame:
+    """(no_id, id, copy, node, bits) of every row; the node is a hash of the set of shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, prints = [], []
-            for text in batch.column(1):
+            for text in batch.column(3):
                 hashes = shingle_hashes(text.as_py(), shingle)
                 nodes.append(xxhash.xxh64_intdigest(np.unique(hashes).tobytes()) >> 1)
                 prints.append(wide_fingerprint(hashes, blocks))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
-                names=["doc_id", "node", "bits"],
+                [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
+                names=[*_NAMES, "node", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, node long, bits binary"
+    return docs.select(*_named(docs), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "no_id boolean, id long, copy long, node long, bits binary"
     )
 
 
@@ -583,7 +595,7 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shi
 
 def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     used = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stored(nodes.join(used, "node").select(F.col("least_id").alias("id")), "similar-ids")
+    wanted = stored(nodes.join(used, "node").select("first.*"), "similar-ids")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -593,8 +605,8 @@ def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, sh
                 [pa.array(nodes_, pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], names=["node", "own"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    known = stored(texts.join(wanted, "id", "left_semi").select("text").mapInArrow(sets, "node long, own binary"), "similar-sets")
+    texts = docs.select(*_named(docs), F.col("text").cast("string").alias("text"))
+    known = stored(texts.join(wanted, _NAMES, "left_semi").select("text").mapInArrow(sets, "node long, own binary"), "similar-sets")
     known = known.dropDuplicates(["node"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -610,32 +622,41 @@ def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, sh
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
-    """(doc_id, component_id): documents linked by a similarity of their word shingles of ``SIMILAR`` or more.
-
-    Wide SimHashes propose pairs, exact Jaccard similarity of the shingle sets decides. Texts with equal sets are one
-    node from the start. Texts without words are alike. A null id is linked by an equal set only."""
+def _similar_nodes(docs: DataFrame, shingle: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(no_id, id, copy, node) of every row, and (node, first, root) of every node: ``first`` names the row of the
+    node with the smallest id, null last, then the smallest hash of its text."""
     n = docs.count()
     width, parts = probe_width(n)
     wide = stored(_wide(docs, shingle, max(_CHECKED // BITS, -(-width * parts // BITS))), "wide-prints")
-    nodes = wide.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("bits").alias("bits"))
+    nodes = wide.groupBy("node").agg(F.min(F.struct(*_NAMES)).alias("first"), F.min("bits").alias("bits"))
     nodes = stored(nodes, "similar-nodes")
     linked = similar_roots(docs, nodes, width, parts, shingle, bucket_rows).withColumnRenamed("node", "of")
     rooted = nodes.join(linked, F.col("node") == F.col("of"), "left").select(
-        "node", "least_id", F.coalesce("root", "node").alias("root")
+        "node", "first", F.coalesce("root", "node").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    ids = stored(rooted.join(least, "root").select("node", "component_id"), "similar-components")
-    return wide.select("doc_id", "node").join(ids, "node").select("doc_id", "component_id")
+    return wide.select(*_NAMES, "node"), stored(rooted, "similar-rooted-nodes")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """The rows, with all their columns, less near copies: of each component, the row with the smallest id stays.
+def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
+    """(doc_id, component_id): documents linked by a similarity of their word shingles of ``SIMILAR`` or more.
 
-    Of rows that share that id one stays. Rows with a null id stay, one of them, only where no copy has an id."""
-    mark = fresh("near", docs.columns)
-    found = similar_documents(docs, shingle)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(mark)).distinct()
-    keep = stored(keep, "kept-ids")
-    rows = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col(mark)), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    Wide SimHashes propose pairs, exact Jaccard similarity of the shingle sets decides. Texts with equal sets are one
+    node from the start. Texts without words are alike. The component of texts without an id alone is null."""
+    wide, rooted = _similar_nodes(docs, shingle, bucket_rows)
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    component = F.when(~F.col("least.no_id"), F.col("least.id")).alias("component_id")
+    ids = stored(rooted.join(least, "root").select("node", component), "similar-components")
+    return wide.join(ids, "node").select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
+    """The rows, with all their columns, less near copies: of each component one row stays, that with the smallest id
+    (null last), then the smallest hash of its text. Ids may be null or repeated; of rows with both the same id and
+    the same text one stays."""
+    _, rooted = _similar_nodes(docs, shingle, bucket_rows)
+    keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    names = [fresh(name, docs.columns) for name in _NAMES]
+    keep = stored(keep, "kept-rows").toDF(*names)
+    named = docs.select("*", *[c.alias(name) for c, name in zip(_named(docs), names, strict=True)])
+    once = named.dropDuplicates(names)  # first, so that repeated rows are dropped in the map tasks
+    return once.join(keep, names, "left_semi").select(*docs.columns)

@@ -121,6 +121,26 @@ def test_near_copies_by_similarity(spark):
     assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
+def test_one_row_of_each_component_with_null_and_repeated_ids(spark):
+    draw = random.Random(4)
+    a, b, c, d, e = (sentence(draw, "en", 60).split() for _ in range(5))
+    near = lambda words_: " ".join([*words_[:-1], "changed"])
+    data = [
+        (None, " ".join(a)), (None, " ".join(b)), (None, near(b)), (None, " ".join(b)),  # without an id: two texts
+        (1, " ".join(c)), (None, near(c)),  # a near copy without an id goes
+        (2, " ".join(d)), (2, " ".join(e)), (2, " ".join(e)),  # two texts under one id
+        (3, near(e)), (1, near(d)),  # near copies of both
+        (None, None), (None, ""), (5, " \t"),  # no words
+    ]
+    docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in data])
+    kept = _collected(simhash.one_of_each(docs).select("doc_id", "text"))
+    of_b = [k for k in kept if k in {(None, " ".join(b)), (None, near(b))}]
+    rest = [k for k in kept if k not in of_b]
+    assert len(of_b) == 1
+    assert set(rest) == {(None, " ".join(a)), (1, " ".join(c)), (1, near(d)), (2, " ".join(e)), (5, " \t")}
+    assert len(rest) == 5
+
+
 @pytest.mark.parametrize("bucket_rows", [40, 2048])
 def test_near_copies_in_large_buckets(spark, bucket_rows):
     draw = random.Random(2)
