@@ -64,6 +64,10 @@ class Encoder:
 
     def vectors(self, texts: list[str]) -> np.ndarray:
         """A row for each text."""
+        return self.bundles(texts)[0]
+
+    def bundles(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each text, and its number of distinct trigrams."""
         codes, rows = [], []
         for i, text in enumerate(texts):
             for at in range(0, len(text), 4 * _PIECE):  # two characters of overlap
@@ -74,7 +78,7 @@ class Encoder:
                 rows.append(np.full(len(code), i, np.int64))
         code, row = np.concatenate(codes or [[]]).astype(np.int64), np.concatenate(rows or [[]])
         if not len(code):
-            return np.zeros((len(texts), self.dimensions), np.float32)
+            return np.zeros((len(texts), self.dimensions), np.float32), np.zeros(len(texts), np.int64)
         marks = np.zeros(SYMBOLS**3, bool)
         marks[code] = True
         grams = np.flatnonzero(marks)
@@ -85,7 +89,7 @@ class Encoder:
         weights = np.sqrt(counts, dtype=np.float32).reshape(len(texts), len(grams))
         a, b, c = grams >> 14, grams >> 7 & 127, grams & 127
         bound = np.roll(self.letter, 2, axis=1)[a] * np.roll(self.letter, 1, axis=1)[b]
-        return weights @ (bound * self.letter[c]).astype(np.float32)
+        return weights @ (bound * self.letter[c]).astype(np.float32), np.count_nonzero(weights, axis=1)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -103,15 +107,22 @@ class Profiles:
     dimensions: int
 
     def predict(self, texts: list[str | None], encoder: Encoder) -> tuple[list[str], np.ndarray]:
-        names, scores = [], []
+        return self.measured(texts, encoder)[:2]
+
+    def measured(self, texts: list[str | None], encoder: Encoder) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language, the score and the number of distinct trigrams of each text."""
+        names, scores, variety = [], [], []
         sizes = [len(t or "") + 1 for t in texts]
         for start, end in slices(sizes, _PIECE):
             part = texts[start:end]
             if not self.languages:
                 names += [UNDETERMINED] * len(part)
                 scores.append(np.zeros(len(part)))
+                variety.append(np.zeros(len(part), np.int64))
                 continue
-            cosine = unit(encoder.vectors([t or "" for t in part])) @ self.prototypes.T
+            bundles, distinct = encoder.bundles([t or "" for t in part])
+            variety.append(distinct)
+            cosine = unit(bundles) @ self.prototypes.T
             best = cosine.argmax(axis=1)
             known = np.array([has_letter(t) for t in part], bool)
             names += [
@@ -119,7 +130,9 @@ class Profiles:
             ]
             top = np.clip(cosine[np.arange(len(part)), best], 0, 1)
             scores.append(np.where(known, top, 0.0))
-        return names, np.concatenate(scores) if scores else np.zeros(0)
+        if not scores:
+            return names, np.zeros(0), np.zeros(0, np.int64)
+        return names, np.concatenate(scores), np.concatenate(variety)
 
 
 def learn(docs: DataFrame, dimensions: int = 512) -> Profiles:
@@ -178,15 +191,26 @@ def identify(docs: DataFrame, profiles: Profiles, folds: int = 4, held_out: int
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def in_a_known_language(docs: DataFrame, profiles: Profiles, least: float = 0.01) -> DataFrame:
-    """The rows, with all their columns, whose text is in a learned language with a cosine of ``least`` or more."""
+ENOUGH = 40  # distinct trigrams from which on the whole floor holds
+
+
+def floor(variety: np.ndarray, dimensions: int, deviations: float = 5.0) -> np.ndarray:
+    """The least cosine of a text in a learned language, by its number of distinct trigrams.
+
+    The cosine of unrelated vectors has a standard deviation of ``1 / sqrt(dimensions)``. That of a text in its own
+    language grows with the number of trigrams, so texts with few of them get a share of the floor."""
+    return deviations / np.sqrt(dimensions) * np.minimum(1, variety / ENOUGH)
+
+
+def in_a_known_language(docs: DataFrame, profiles: Profiles) -> DataFrame:
+    """The rows, with all their columns, whose text is in a learned language with a cosine of ``floor`` or more."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(profiles.dimensions)
         for batch in batches:
-            names, scores = profiles.predict(batch.column(at).to_pylist(), encoder)
-            good = (np.array(names, object) != UNDETERMINED) & (scores >= least)
+            names, scores, variety = profiles.measured(batch.column(at).to_pylist(), encoder)
+            good = (np.array(names, object) != UNDETERMINED) & (scores >= floor(variety, profiles.dimensions))
             yield batch.filter(pa.array(good.astype(bool)))
 
     return docs.mapInArrow(run, docs.schema)

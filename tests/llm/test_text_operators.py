@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 import zlib
 from collections import Counter
@@ -186,6 +187,26 @@ def test_language(spark):
     assert langid.identify(nothing(spark), profiles).count() == 0
 
 
+def test_texts_in_no_learned_language_go(spark):
+    docs = documents(spark)
+    profiles = langid.learn(docs)
+    draw = random.Random(8)
+
+    def drawn(alphabet, n):
+        return " ".join("".join(draw.choices(alphabet, k=draw.randint(2, 9))) for _ in range(n))
+
+    alphabets = [
+        "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", [chr(0x430 + i) for i in range(32)],
+        [chr(0x4E00 + i) for i in range(3000)],
+    ]
+    foreign = [drawn(a, n) for a in alphabets for n in (60, 300) for _ in range(10)]
+    foreign += [base64.b64encode(draw.randbytes(600)).decode() for _ in range(10)]
+    known = [sentence(draw, lang, n) for lang in ("en", "fr") for n in (3, 6, 40, 200) for _ in range(10)]
+    data = [(i, t, None, None, None, None, None) for i, t in enumerate(known + foreign)]
+    kept = langid.in_a_known_language(documents(spark, data), profiles)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(len(known)))
+
+
 # --- language model
 
 
