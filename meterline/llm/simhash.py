@@ -350,9 +350,12 @@ def hex_digits(fp: Column) -> Column:
 # --- near copies by similarity of word shingles
 
 SIMILAR = 0.8
-_CHECKED = 256  # bits compared in a bucket
-_LOOSE = 56  # of them may differ: three deviations above what a similarity of 0.8 gives
-_MISSED = 0.03
+_CHECKED = 512  # bits compared in a bucket
+#: So many of them may differ. A bit of two sets at 0.8 differs with a probability of 0.1875 at most (4 of 5 shingles
+#: shared; 0.15 for large sets); more than 152 of 512 then differ with a probability below 1e-9.
+_LOOSE = 152
+_CELLS = 1 << 20
+_CELL_BLOCK = 1 << 14
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -376,11 +379,49 @@ def wide_fingerprint(hashes: np.ndarray, blocks: int) -> bytes:
     return b"".join(f.tobytes() for f in found)
 
 
-def probe_width(n: int) -> tuple[int, int]:
-    """(bits a partition, partitions): buckets stay small as the number of texts grows, and a pair at the least
-    similarity, whose bits agree with probability 0.85, misses all partitions with probability ``_MISSED``."""
-    width = max(10, int(np.ceil(np.log2(max(n, 2)))) - 6)
-    return width, int(np.ceil(np.log(_MISSED) / np.log1p(-(0.85**width))))
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(BITS - 20)).astype(np.int64)
+
+
+def commonness(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How common shingles are, as the power of two of the rows that have one of the same cell of ``_CELLS``.
+
+    All rows are counted. Each task adds up in a table of fixed size; one byte a cell reaches the driver."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(_CELLS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(table, _cells(np.unique(shingle_hashes(text.as_py(), shingle))), 1)
+        for block, part in enumerate(table.reshape(-1, _CELL_BLOCK)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tobytes()])], names=["block", "part"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(part.as_buffer(), np.int64)
+        for block, total in sums.items():
+            power = np.ceil(np.log2(total + 1)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([power.tobytes()])], names=["block", "part"])
+
+    kind = "block long, part binary"
+    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, kind)
+    found = np.zeros((_CELLS // _CELL_BLOCK, _CELL_BLOCK), np.uint8)
+    for block, part in parts.repartition("block").mapInArrow(added, kind).collect():
+        found[block] = np.frombuffer(part, np.uint8)
+    return found.ravel()
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The rarest of a set's distinct shingles, in one order for all sets, so many that two sets with a similarity of
+    ``SIMILAR`` or more have one of them in common: any order finds all pairs, that of rarity with fewest others."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    kept = n - int(np.ceil(SIMILAR * n - 1e-6)) + 1
+    return hashes[np.lexsort((hashes, common[_cells(hashes)]))[:kept]]
 
 
 def _named(docs: DataFrame) -> list[Column]:
@@ -393,45 +434,30 @@ def _named(docs: DataFrame) -> list[Column]:
 _NAMES = ["no_id", "id", "copy"]
 
 
-def _wide(docs: DataFrame, shingle: int, blocks: int) -> DataFrame:
-    """(no_id, id, copy, node, bits) of every row; the node is a hash of the set of shingles."""
+def _wide(docs: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
+    """(no_id, id, copy, node, bits, prefix) of every row; the node is a hash of the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, prints = [], []
+            nodes, prints, rare = [], [], []
             for text in batch.column(3):
-                hashes = shingle_hashes(text.as_py(), shingle)
-                nodes.append(xxhash.xxh64_intdigest(np.unique(hashes).tobytes()) >> 1)
-                prints.append(wide_fingerprint(hashes, blocks))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())],
-                names=[*_NAMES, "node", "bits"],
-            )
+                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()) >> 1)
+                prints.append(wide_fingerprint(hashes, _CHECKED // BITS))
+                rare.append(prefix(hashes, common).view(np.int64))
+            found = [pa.array(nodes, pa.int64()), pa.array(prints, pa.binary()), pa.array(rare, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=[*_NAMES, "node", "bits", "prefix"])
 
     return docs.select(*_named(docs), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "no_id boolean, id long, copy long, node long, bits binary"
+        run, "no_id boolean, id long, copy long, node long, bits binary, prefix array<long>"
     )
 
 
-def _buckets(nodes: DataFrame, width: int, parts: int) -> DataFrame:
-    """A row for each node and partition: (part, key, node, bits), with the bits that are compared."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [b.as_py() for b in batch.column(1)]
-            if not raw:
-                continue
-            bits = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1), axis=1)
-            scale = 1 << np.arange(width, dtype=np.int64)
-            shown = pa.array([r[: _CHECKED // 8] for r in raw], pa.binary())
-            for part in range(parts):
-                key = bits[:, part * width : (part + 1) * width].astype(np.int64) @ scale
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(raw), part)), pa.array(key), batch.column(0), shown],
-                    names=["part", "key", "node", "bits"],
-                )
-
-    return nodes.select("node", "bits").mapInArrow(run, "part long, key long, node long, bits binary")
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(place, node, bits) for each shingle of each prefix that another prefix has too."""
+    probes = stored(nodes.select("node", F.explode("prefix").alias("place")), "similar-probes")
+    shared = probes.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("place")
+    return probes.join(shared, "place", "left_semi").join(nodes.select("node", "bits"), "node")
 
 
 _SMALL = 64
@@ -578,10 +604,9 @@ def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return _by_group(members.union(outside), "place", "i", "j").mapInArrow(run, "u long, v long").distinct()
 
 
-def similar_roots(docs: DataFrame, nodes: DataFrame, width: int, parts: int, shingle: int, bucket_rows: int):
-    """(node, root) of what pairs with a Jaccard similarity of ``SIMILAR`` or more connect, of all pairs that share a
-    bucket and are close in their bits."""
-    buckets = stored(_buckets(nodes, width, parts).withColumn("place", F.xxhash64("part", "key")), "similar-probes")
+def similar_roots(docs: DataFrame, nodes: DataFrame, shingle: int, bucket_rows: int):
+    """(node, root) of what pairs with a Jaccard similarity of ``SIMILAR`` or more connect. They share a bucket."""
+    buckets = stored(_buckets(nodes), "similar-buckets")
     tried = stored(_first_candidates(buckets, bucket_rows).distinct(), "similar-candidates")
     first = stored(_verified_similarity(docs, nodes, tried, shingle), "similar-links")
     roots = stored(components(first), "similar-roots")
@@ -625,12 +650,12 @@ def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, sh
 def _similar_nodes(docs: DataFrame, shingle: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
     """(no_id, id, copy, node) of every row, and (node, first, root) of every node: ``first`` names the row of the
     node with the smallest id, null last, then the smallest hash of its text."""
-    n = docs.count()
-    width, parts = probe_width(n)
-    wide = stored(_wide(docs, shingle, max(_CHECKED // BITS, -(-width * parts // BITS))), "wide-prints")
-    nodes = wide.groupBy("node").agg(F.min(F.struct(*_NAMES)).alias("first"), F.min("bits").alias("bits"))
+    wide = stored(_wide(docs, shingle, commonness(docs, shingle)), "wide-prints")
+    nodes = wide.groupBy("node").agg(
+        F.min(F.struct(*_NAMES)).alias("first"), F.min("bits").alias("bits"), F.min("prefix").alias("prefix")
+    )
     nodes = stored(nodes, "similar-nodes")
-    linked = similar_roots(docs, nodes, width, parts, shingle, bucket_rows).withColumnRenamed("node", "of")
+    linked = similar_roots(docs, nodes, shingle, bucket_rows).withColumnRenamed("node", "of")
     rooted = nodes.join(linked, F.col("node") == F.col("of"), "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
     )
@@ -640,8 +665,8 @@ def _similar_nodes(docs: DataFrame, shingle: int, bucket_rows: int) -> tuple[Dat
 def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
     """(doc_id, component_id): documents linked by a similarity of their word shingles of ``SIMILAR`` or more.
 
-    Wide SimHashes propose pairs, exact Jaccard similarity of the shingle sets decides. Texts with equal sets are one
-    node from the start. Texts without words are alike. The component of texts without an id alone is null."""
+    Prefix filtering proposes all pairs that can be alike, wide SimHashes rule most others out, exact Jaccard similarity
+    of the shingle sets decides. Texts with equal sets are one node from the start. Texts without words are alike. The component of texts without an id alone is null."""
     wide, rooted = _similar_nodes(docs, shingle, bucket_rows)
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     component = F.when(~F.col("least.no_id"), F.col("least.id")).alias("component_id")

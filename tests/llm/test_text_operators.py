@@ -122,6 +122,26 @@ def test_near_copies_by_similarity(spark):
     assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
+def test_near_copies_at_the_least_similarity(spark):
+    """Short and long pairs at exactly 0.8 or just above, and pairs just below, with a line that many share."""
+    draw = random.Random(6)
+    line = sentence(draw, "en", 9)
+    texts = []
+    for k in range(400):
+        n = (8, 8, 16, 44)[k % 4]
+        tokens = [f"w{draw.randrange(10**9)}" for _ in range(n)] + (line.split() if n == 44 else [])
+        more = max(1, (len(tokens) - 4) // 4)
+        texts += [" ".join(tokens), " ".join([*tokens, *(f"x{draw.randrange(10**9)}" for _ in range(more + (k % 8 > 5)))])]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    plain = {}
+    for i in range(0, len(texts), 2):
+        a, b = sets[i : i + 2]
+        plain |= {i: i, i + 1: i if len(a & b) * 5 >= len(a | b) * 4 else i + 1}
+    assert 200 < sum(i != c for i, c in plain.items()) < 400
+    docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in enumerate(texts)])
+    assert dict(_collected(simhash.similar_documents(docs))) == plain
+
+
 def test_one_row_of_each_component_with_null_and_repeated_ids(spark):
     draw = random.Random(4)
     a, b, c, d, e = (sentence(draw, "en", 60).split() for _ in range(5))
