@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, iblt, langid, lm, packing, preference, quality, simhash, toxicity, warc
+from meterline.llm import decontaminate, iblt, langid, lm, packing, preference, quality, simhash, topk, toxicity, warc
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return iblt.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op8_lm_scoring,
         op9_packing,
         op10_document_fingerprints,
+        op12_exact_topk,
     )
 }
 
@@ -154,4 +159,22 @@ SELECT pair_id, pair_id AS chosen_id, rejected_id, part, turn, CAST(copy AS INT)
 FROM parts WHERE part <> 'prompt' OR side = 0
 """
 
-ORACLES: dict[str, str] = {"op2_warc": _WARC_SQL, "op5_chat_formatting": _PREFERENCE_SQL}
+_TOPK_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x : floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_warc": _WARC_SQL,
+    "op5_chat_formatting": _PREFERENCE_SQL,
+    "op12_exact_topk": _TOPK_SQL,
+}
