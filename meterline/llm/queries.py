@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, iblt, langid, lm, packing, preference, quality, simhash, topk, toxicity, warc
+from meterline.llm import decontaminate, iblt, langid, lm, packing, preference, quality, simhash, spelling, topk, toxicity, warc
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return iblt.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_lm_scoring,
         op9_packing,
         op10_document_fingerprints,
+        op11_spelling_variants,
         op12_exact_topk,
     )
 }
@@ -159,6 +164,49 @@ SELECT pair_id, pair_id AS chosen_id, rejected_id, part, turn, CAST(copy AS INT)
 FROM parts WHERE part <> 'prompt' OR side = 0
 """
 
+_SPELLING_SQL = """
+WITH RECURSIVE steps AS (
+  SELECT list_transform(range(256), lambda i : list_reduce(list_prepend(i, range(8)),
+    lambda c, k : CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS step
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+), low AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM runs GROUP BY ALL
+), bytes AS (
+  SELECT run, times, hex(concat(doc_id, ':', run)) AS hex FROM low
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(hex) // 2), lambda i : CAST('0x' || substr(hex, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b : xor(c >> 8, step[xor(c & 255, b) + 1]))) AS h
+  FROM bytes, steps
+), cut AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM cut GROUP BY word HAVING length(word) >= 5 AND sum(times) >= 3
+), without AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM without a JOIN without b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT w.word, x.word FROM without w JOIN words x ON w.rest = x.word
+  UNION SELECT x.word, w.word FROM without w JOIN words x ON w.rest = x.word
+), best AS (
+  SELECT p.word, p.near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near FROM pairs p JOIN words w ON w.word = p.near
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near COLLATE "binary") = 1
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form,
+         CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), paths AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT p.word, f.form FROM paths p JOIN formed f ON f.word = p.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN paths p ON p.word = f.word JOIN formed e ON e.word = p.at AND e.form IS NULL
+"""
+
 _TOPK_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x : floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -176,5 +224,6 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 ORACLES: dict[str, str] = {
     "op2_warc": _WARC_SQL,
     "op5_chat_formatting": _PREFERENCE_SQL,
+    "op11_spelling_variants": _SPELLING_SQL,
     "op12_exact_topk": _TOPK_SQL,
 }
