@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, iblt, langid, lm, packing, preference, quality, simhash, spelling, topk, toxicity, warc
+from meterline.llm import collocations, decontaminate, iblt, langid, lm, packing, preference, quality, simhash, spelling, topk, toxicity, warc
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,10 @@ def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -93,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op10_document_fingerprints,
         op11_spelling_variants,
         op12_exact_topk,
+        op13_collocations,
     )
 }
 
@@ -221,9 +226,53 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+_COLLOCATIONS_SQL = """
+WITH low AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM low
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), grams AS (
+  SELECT lang, 1 AS size, unnest(words) AS phrase FROM worded
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(words)), lambda i : words[i] || ' ' || words[i + 1])) FROM worded
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(words) - 1), lambda i : words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+  FROM worded
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), found AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND f >= 10
+), longer AS (
+  SELECT lang, phrase, max(a) AS around FROM (
+    SELECT lang, a, unnest([words[1] || ' ' || words[2], words[2] || ' ' || words[3]]) AS phrase FROM found WHERE size = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT found.* FROM found LEFT JOIN longer USING (lang, phrase) WHERE around IS NULL OR 100 * around < 50 * a
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head AND x.size = c.k
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest AND y.size = len(string_split(c.phrase, ' ')) - c.k
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_warc": _WARC_SQL,
     "op5_chat_formatting": _PREFERENCE_SQL,
     "op11_spelling_variants": _SPELLING_SQL,
     "op12_exact_topk": _TOPK_SQL,
+    "op13_collocations": _COLLOCATIONS_SQL,
 }
