@@ -343,10 +343,15 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFram
     """(lang, phrase, size, f) of all words and of phrases of two and three words with f >= ``least``, and (lang, n)."""
     spark = docs.sparkSession
     texts = _texts(docs)
-    first = stored(texts.mapInArrow(_first_reading, "lang string, word binary, hash long, n long"), "phrases-first")
-    words = first.where("hash IS NULL").groupBy("lang", F.col("word").cast("string").alias("phrase")).agg(F.sum("n").alias("f"))
-    words = stored(words.withColumn("size", F.lit(1)), "phrases-words")
-    frequent = first.where("hash IS NOT NULL").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # tasks have added up what they saw, so that rows go to their exchange as they are
+    first = (
+        texts.mapInArrow(_first_reading, "lang string, word binary, hash long, n long")
+        .repartition("lang", "word", "hash").groupBy("lang", "word", "hash").agg(F.sum("n").alias("f"))
+        .where(F.col("hash").isNull() | (F.col("f") >= least))
+    )
+    first = stored(first, "phrases-first")
+    words = first.where("hash IS NULL").select("lang", F.col("word").cast("string").alias("phrase"), F.lit(1).alias("size"), "f")
+    frequent = first.where("hash IS NOT NULL").select("hash")
     bitmap = spark.sparkContext.broadcast(_bitmap(frequent))
     # a phrase is merged where its first two words send it, so one exchange serves two and three words
     merged = (
@@ -361,7 +366,7 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> tuple[DataFrame, DataFram
         "phrases",
     )
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    return words.select("lang", "phrase", "size", "f").unionByName(phrases), totals
+    return words.unionByName(phrases), totals
 
 
 def collocations(docs: DataFrame, least: int = 10, best: int = 2000, scale: int = 1_000_000, share: int = 50) -> DataFrame:
