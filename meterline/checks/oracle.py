@@ -177,6 +177,14 @@ _PROCESSED = """pickup_datetime, dropoff_datetime, passenger_count, trip_distanc
     year, month, day"""
 
 
+_TRIPS_AND_DAYS = "COUNT(*) AS trips, COUNT(DISTINCT (year, month, day)) AS days"
+
+
+def _of_some(sql: str) -> str:
+    """Over the trips that are left when the files of payment types 3 and up are rewritten with type 3 alone."""
+    return sql.replace("FROM trips", "FROM (SELECT * FROM trips WHERE payment_type < 4)")
+
+
 def _column_profile() -> str:
     # Numbers are ordered as numbers, so the extremes are taken before they become text.
     parts = []
@@ -262,6 +270,28 @@ def oracle_queries() -> dict[str, str]:
         "processed_trips": processed,
         "processed_scan": processed,
         "incremental_ingest": processed,
+        "lease_log": """
+            SELECT 1 AS number, 'first' AS holder, TRUE AS released, 0 AS rows_read
+            UNION ALL SELECT 2, 'stuck', FALSE, 0
+            UNION ALL SELECT 3, 'update', TRUE, COUNT(*) FROM lineitem""",
+        "file_ledger": _typed(
+            f"""SELECT 2 AS run, 'read' AS status, COUNT(*) AS rows_read, COUNT(*) FILTER (WHERE {_ALL_MET}) AS rows_kept
+            FROM typed WHERE payment_type < 4"""
+        ),
+        "bookmark_rewind": _trips(
+            f"""SELECT 'both runs' AS state, {_TRIPS_AND_DAYS} FROM trips
+            UNION ALL SELECT 'rewound', {_TRIPS_AND_DAYS} FROM trips WHERE payment_type < 3
+            UNION ALL SELECT 'updated', {_TRIPS_AND_DAYS} FROM trips"""
+        ),
+        "incremental_tables": _of_some(
+            _with(
+                _TYPED, _TRIPS, _DATED, _DAILY, _HOURLY, _PAYMENT, _DISTANCE,
+                select=f"""SELECT 'daily_trip_statistics' AS table_name, * REPLACE ({_PICKUP_DATE}) FROM daily
+                UNION ALL BY NAME SELECT 'hourly_trip_patterns' AS table_name, * FROM hourly
+                UNION ALL BY NAME SELECT 'payment_type_analysis' AS table_name, * FROM payment
+                UNION ALL BY NAME SELECT 'distance_distribution' AS table_name, * FROM distance""",
+            )
+        ),
         "time_dimensions": _with(
             _TYPED,
             _TRIPS,

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators import lifecycle, profile, quality, trips
-from meterline.plans import curated, refresh, reports
+from meterline.plans import curated, incremental, refresh, reports
 from meterline.plans.lineitem_trips import raw_trips
 from meterline.session import new_shared_path
-from meterline.sources import layers, raw_files
+from meterline.sources import journal, layers, lease, raw_files
 from meterline.sources.schemas import RAW_USED
-from meterline.streaming import ingest
+from meterline.streaming import ingest, ledger
 
 AS_OF = "2025-07-01"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,14 +91,15 @@ def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return layers.read_processed(spark, lake.processed)
 
 
-_refreshed: dict[tuple[str, str], layers.Lake] = {}
+_refreshed: dict[tuple, layers.Lake] = {}
 
 
 def _stored(table: curated.CuratedTable, build: Callable[[DataFrame], DataFrame]) -> Query:
-    """A report as users run it: raw CSV files, a refresh, and the stored curated table. A session refreshes once a folder."""
+    """A report as users run it: raw CSV files, a refresh, and the stored curated table. A session refreshes once for
+    each state of the folder's trips."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, *journal.changes(spark, f"{folder}/lineitem.parquet"))
         if key not in _refreshed:
             lake = layers.Lake(new_shared_path(spark, "refreshed"), raw=_raw_as_csv(spark, folder))
             refresh.refresh(spark, lake)
@@ -107,6 +109,79 @@ def _stored(table: curated.CuratedTable, build: Callable[[DataFrame], DataFrame]
     return run
 
 
+def _lease_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Who wrote to a lake: a holder in whose time another update is skipped, one that died, and one that takes over."""
+    lake = layers.Lake(new_shared_path(spark, "lake"), raw=_raw_as_csv(spark, folder))
+    with lease.held(spark, lake, "first"):
+        if incremental.update(spark, lake, "skipped") is not None:
+            raise RuntimeError("two writers at once")
+    lease.take(spark, lake, "stuck", seconds=0)
+    incremental.update(spark, lake, "update")
+    read = layers.read_batches(spark, lake.audit).agg(F.sum("rows_read").alias("rows_read"))
+    log = lease.log(spark, lake).select("number", "holder", F.col("released_at").isNotNull().alias("released"))
+    counted = log.join(read.withColumn("holder", F.lit("update")), "holder", "left")
+    return counted.withColumn("rows_read", F.coalesce("rows_read", F.lit(0).cast("bigint")))
+
+
+def _rewritten_lake(spark: SparkSession, folder: str) -> layers.Lake:
+    """A lake with two folders of files, of which the second is rewritten, under the same names, with the trips of one
+    payment type only; updated before and after."""
+    lake = layers.Lake(new_shared_path(spark, "lake"), raw=new_shared_path(spark, "raw"))
+    raw, late = raw_trips(spark, folder), new_shared_path(spark, "rewritten")
+    payment = F.col("payment_type").cast("int")
+    raw.where(payment < 3).write.option("header", True).csv(f"{lake.raw}/first")
+    raw.where(payment >= 3).write.option("header", True).csv(f"{lake.raw}/second")
+    incremental.update(spark, lake)
+    raw.where(payment == 3).write.option("header", True).csv(late)
+    old, new = ([p for p in journal.matching(spark, f"{f}/part-*")] for f in (f"{lake.raw}/second", late))
+    for path in old:
+        journal.delete(spark, path)
+    for was, path in zip(old, new, strict=True):
+        journal.rename(spark, path, was)
+    incremental.update(spark, lake)
+    return lake
+
+
+def _incremental_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The four published tables as one, after files were rewritten; columns that a table lacks are null."""
+    lake = _rewritten_lake(spark, folder)
+    tables = [
+        layers.read_curated(spark, lake, table.name).withColumn("table_name", F.lit(table.name)) for table in curated.TABLES
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _file_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a lake in which a folder was rewritten, by run and status, with the trips their batches kept."""
+    lake = _rewritten_lake(spark, folder)
+    run = F.regexp_extract(layers.INGEST_BATCH, "run-([0-9]+)", 1).cast("int").alias("run")
+    files = ledger.files(spark, lake)
+    batches = files.groupBy(layers.INGEST_BATCH, "status").agg(F.count("*").alias("n"))
+    audit = layers.read_batches(spark, lake.audit).select(layers.INGEST_BATCH, "rows_read", "rows_kept")
+    counted = batches.where("n > 0").join(audit, layers.INGEST_BATCH)
+    return counted.groupBy(run, "status").agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept"))
+
+
+def _bookmark_rewind(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips and days after two runs, after going back to the first, and after the next update."""
+    lake = layers.Lake(new_shared_path(spark, "lake"), raw=new_shared_path(spark, "raw"))
+    raw, payment = raw_trips(spark, folder), F.col("payment_type").cast("int")
+    raw.where(payment < 3).write.option("header", True).csv(f"{lake.raw}/first")
+    incremental.update(spark, lake)
+    raw.where(payment >= 3).write.option("header", True).csv(f"{lake.raw}/second")
+    incremental.update(spark, lake)
+
+    def days(state: str) -> DataFrame:
+        daily = layers.read_curated(spark, lake, "daily_trip_statistics")
+        return daily.agg(F.sum("total_trips").alias("trips"), F.count("*").alias("days")).withColumn("state", F.lit(state))
+
+    both = days("both runs")
+    incremental.rewind(spark, lake, 1)
+    back = days("rewound")
+    incremental.update(spark, lake)
+    return both.unionByName(back).unionByName(days("updated"))
+
+
 def _metrics(frame: DataFrame) -> DataFrame:
     return frame.select(
         "pickup_datetime",
@@ -160,6 +235,10 @@ def _queries() -> dict[str, Query]:
         "processed_trips": _over_trips(lambda frame: frame),
         "processed_scan": _processed_scan,
         "incremental_ingest": _incremental_ingest,
+        "lease_log": _lease_log,
+        "file_ledger": _file_ledger,
+        "bookmark_rewind": _bookmark_rewind,
+        "incremental_tables": _incremental_tables,
         "time_dimensions": _over_trips(_time_dimensions),
         "daily_trip_statistics": _over_table(daily, lambda table: table),
         "hourly_trip_patterns": _over_table(hourly, lambda table: table),

@@ -8,11 +8,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import SparkSession
 
 from meterline.operators import compaction, profile
-from meterline.plans import refresh
+from meterline.plans import incremental, publish, refresh
 from meterline.session import build_session
-from meterline.sources import layers
+from meterline.sources import layers, lease
 from meterline.sources.layers import Lake
-from meterline.streaming import ingest
+from meterline.streaming import ingest, ledger
 
 
 def _ingest(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
@@ -38,12 +38,34 @@ def _profile(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str
     return f"profile written to {chosen.target}"
 
 
+def _update(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
+    batches = incremental.update(spark, lake)
+    return "another writer is active" if batches is None else f"batches ingested: {len(batches)}"
+
+
+def _rewind(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
+    retired = incremental.rewind(spark, lake, chosen.run)
+    return "another writer is active" if retired is None else f"batches retired: {len(retired)}"
+
+
+def _clean(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
+    with lease.held(spark, lake) as held:
+        if held is None:
+            return "another writer is active"
+        batches = ledger.remove_invisible(spark, lake, chosen.keep, held)
+        versions = publish.remove_old(spark, lake, chosen.keep)
+    return f"removed: {len(batches)} batches, {len(versions)} versions"
+
+
 JOBS: dict[str, Callable[[SparkSession, Lake, argparse.Namespace], str]] = {
     "ingest": _ingest,
     "rebuild": _rebuild,
     "refresh": _refresh,
     "compact": _compact,
     "profile": _profile,
+    "update": _update,
+    "rewind": _rewind,
+    "clean": _clean,
 }
 
 
@@ -53,7 +75,7 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     for name in JOBS:
         job = jobs.add_parser(name)
         job.add_argument("--lake", required=True, help="root folder of the lake")
-        if name in ("ingest", "refresh"):
+        if name in ("ingest", "refresh", "update"):
             job.add_argument("--raw", required=True, help="folder of raw files")
         if name == "refresh":
             job.add_argument("--only-new-months", action="store_true", help="rebuild the months of new files only")
@@ -61,6 +83,10 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
             job.add_argument("--target", required=True, help="folder to write")
         if name == "compact":
             job.add_argument("--where", default="true", help="partitions to copy, as a SQL condition")
+        if name == "rewind":
+            job.add_argument("--run", type=int, required=True, help="run to go back to; 0 is before the first")
+        if name == "clean":
+            job.add_argument("--keep", type=int, default=2, help="runs and publications whose files stay")
         if name == "profile":
             job.add_argument("--exact", action="store_true", help="count distinct values exactly instead of by sketches")
     return parser.parse_args(given)

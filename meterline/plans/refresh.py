@@ -9,9 +9,9 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.plans import curated
+from meterline.plans import curated, publish
 from meterline.session import shared_folder
-from meterline.sources import layers
+from meterline.sources import layers, lease
 from meterline.sources.layers import Lake
 from meterline.streaming.ingest import ingest_new_files
 
@@ -26,11 +26,12 @@ def _of_months(trips: DataFrame, months: Sequence[Month]) -> DataFrame:
 def rebuild_curated(
     spark: SparkSession, lake: Lake, months: Sequence[Month] | None = None
 ) -> bool:
-    """Write the four curated tables from the processed layer, all months or whole chosen ones.
+    """Publish the four curated tables from the processed layer, all months or whole chosen ones.
 
     The processed layer is read once, into cells of partial sums. The cells are checkpointed in the
     shared folder, so that the four writes neither read the trips again nor depend on executors that
-    may be lost. Returns False, and writes nothing, when there are no trips.
+    may be lost. Readers see the set published before until all four are written. Returns False, and
+    publishes nothing, when there are no trips.
     """
     trips = layers.if_present(lambda: layers.read_processed(spark, lake.processed))
     if trips is None or (months is not None and not months):
@@ -41,9 +42,7 @@ def rebuild_curated(
     cells = curated.cells(trips).checkpoint()
     if cells.isEmpty():
         return False
-    for table in curated.TABLES:
-        finished = curated.from_cells(table, cells)
-        layers.write_curated(finished, lake.curated(table.name), months is not None)
+    publish.publish(spark, lake, cells, months)
     return True
 
 
@@ -75,7 +74,13 @@ def batches_to_rebuild(spark: SparkSession, lake: Lake) -> list[str]:
 def refresh(spark: SparkSession, lake: Lake, only_new_months: bool = False) -> list[str]:
     """Ingest new raw files, then rebuild the curated tables if any batch is not in them yet.
 
-    A batch is noted once all four tables are written, so a refresh after a failed one makes up for it."""
+    A batch is noted once all four tables are published, so a refresh after a failed one makes up for it. While
+    another refresh of the lake runs this one does nothing: the files are still new for the next."""
+    with lease.held(spark, lake) as held:
+        return _refreshed(spark, lake, only_new_months) if held else []
+
+
+def _refreshed(spark: SparkSession, lake: Lake, only_new_months: bool) -> list[str]:
     batches = ingest_new_files(spark, lake)
     pending = batches_to_rebuild(spark, lake)
     if pending:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.sources import raw_files
-from meterline.sources.layers import INGEST_BATCH, Lake
+from meterline.sources.layers import INGEST_BATCH, Lake, published_folders, published_months
 from meterline.sources.schemas import PARQUET_TABLES, RAW_TABLE
 
 RAW_NAME = "raw_taxi_trips"
@@ -66,10 +66,33 @@ def create_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         spark.sql(parquet_table_ddl(database, table, location, batches))
 
 
-def repair_partitions(spark: SparkSession, database: str) -> None:
-    """Make new partition folders known to the catalog; run after each load."""
+def repair_partitions(spark: SparkSession, database: str, lake: Lake) -> None:
+    """Make new partition folders known to the catalog; run after each load. Curated tables follow the newest
+    publication, month by month; without one, their folders."""
+    months = published_months(spark, lake)
     for table in PARQUET_TABLES:
-        spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+        if months is None or not table.startswith("curated_"):
+            spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+        else:
+            _follow(spark, f"{database}.{table}", lake, table.removeprefix("curated_"), months)
+
+
+def _follow(spark: SparkSession, table: str, lake: Lake, name: str, months: dict[str, str]) -> None:
+    known = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    wanted = {
+        folder: f"{lake.version(version, name)}/{folder}"
+        for version, folders in published_folders(months).items()
+        for folder in folders
+    }
+    for folder in sorted(known | set(wanted)):
+        partition = folder.replace("/", ", ")
+        if folder not in wanted:
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+        elif folder in known:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({partition}) SET LOCATION '{wanted[folder]}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({partition}) LOCATION '{wanted[folder]}'")
+    spark.catalog.refreshTable(table)
 
 
 def compute_statistics(spark: SparkSession, table: str) -> None:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.sources import journal
 from meterline.sources.schemas import DAY_KEYS, MONTH_KEYS, PROCESSED_COLUMNS, read_schema
 
 INGEST_BATCH = "ingest_batch"
@@ -50,6 +52,34 @@ class Lake:
     def curated(self, table: str) -> str:
         return f"{self.root}/curated/{table}"
 
+    def version(self, version: str, table: str) -> str:
+        """A table of one published version of the four."""
+        return f"{self.versions}/{version}/{table}"
+
+    @property
+    def versions(self) -> str:
+        return f"{self.root}/versions"
+
+    @property
+    def published(self) -> str:
+        return f"{self.root}/bookmarks/published"
+
+    @property
+    def leases(self) -> str:
+        return f"{self.root}/bookmarks/leases"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/bookmarks/ledger"
+
+    @property
+    def runs(self) -> str:
+        return f"{self.root}/bookmarks/runs"
+
+    @property
+    def cells(self) -> str:
+        return f"{self.root}/cells/taxi_trips"
+
 
 # Below 2000, from which on Spark keeps only average sizes and could not see a hot day.
 FIRST_PARTITIONS = 1024
@@ -104,8 +134,39 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, "processed_taxi_trips", path).select(*PROCESSED_COLUMNS)
 
 
+def month_name(year: int, month: int) -> str:
+    return f"{year:04d}-{month:02d}"
+
+
+def published_months(spark: SparkSession, lake: Lake) -> dict[str, str] | None:
+    """The version that holds each month, as the newest publication has it; None where nothing was published."""
+    record = journal.latest(spark, lake.published)
+    return record and record["months"]
+
+
+def published_folders(months: dict[str, str]) -> dict[str, list[str]]:
+    """Month folders of each version."""
+    found: dict[str, list[str]] = {}
+    for name, version in sorted(months.items()):
+        year, month = name.split("-")
+        found.setdefault(version, []).append(f"year={int(year)}/month={int(month)}")
+    return found
+
+
 def read_curated(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    return read_table(spark, f"curated_{table}", lake.curated(table))
+    """A curated table of the newest publication: whole months, each from the version that holds it. All four tables
+    read with one publication belong together, and later ones do not change a frame. Without publications, the folder
+    of the table."""
+    name = f"curated_{table}"
+    months = published_months(spark, lake)
+    if months is None:
+        return read_table(spark, name, lake.curated(table))
+    frames = []
+    for version, folders in published_folders(months).items():
+        root = lake.version(version, table)
+        reader = spark.read.schema(read_schema(name)).option("basePath", root)
+        frames.append(reader.parquet(*[f"{root}/{folder}" for folder in folders]))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], read_schema(name))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

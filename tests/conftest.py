@@ -10,6 +10,8 @@ LOCAL = {
     "spark.sql.shuffle.partitions": "4",
     "spark.sql.catalogImplementation": "in-memory",
     "spark.driver.memory": "6g",
+    # Plans are read as text, and expression numbers grow during a run.
+    "spark.sql.maxMetadataStringLength": "10000",
 }
 
 

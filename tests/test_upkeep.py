@@ -25,7 +25,7 @@ def lake(spark, tmp_path_factory):
         write(f"{made.raw}/{number}.csv", HEADER, *lines)
         refresh.refresh(spark, made)
     catalog.create_tables(spark, made, DATABASE)
-    catalog.repair_partitions(spark, DATABASE)
+    catalog.repair_partitions(spark, DATABASE, made)
     yield made
     spark.sql(f"DROP DATABASE {DATABASE} CASCADE")
 
