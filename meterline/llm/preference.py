@@ -1,16 +1,17 @@
 """Preference pairs from conversations, with built-in functions only.
 
-Two conversations with the same first turn are a pair; the one with the smaller id is the chosen one. The longest
+Conversations with the same first turn are paired in the order of their ids, the first with the second, the third with
+the fourth and so on; the one with the smaller id is the chosen one. The longest
 common prefix of turns is the prompt, rendered once; what follows in either is its completion. Output is by turn, so
 that a conversation with a third of all turns is never gathered: the text of a part is its turns in the order of
 (turn, copy). ``loss_from`` and ``loss_to`` mark the characters of a rendered turn that are trained on: what the
 assistant says in a completion, with the end mark. They are null elsewhere (masked).
 
-Pairing counts within blocks of 256 ids, so that a first turn shared by a third of all conversations is paired in
-many tasks; what is left over in the blocks is paired in a second round, at most one conversation a block.
+Pairing numbers conversations within ranges of (first turn, id), so that a first turn shared by a third of all
+conversations is paired in many tasks, whatever their ids.
 
 Defined results: null roles and texts are empty; turns are ordered by (turn, role, text) with nulls first, so that
-repeated turns are numbered copies; a null conv_id is a conversation of its own; a conversation without partner has
+repeated turns are numbered copies; a null conv_id is a conversation of its own, without partner; a conversation without partner has
 an empty prompt, is all completion, and its rejected_id is null; equal conversations are all prompt; an empty table
 gives an empty result. Only the named columns are read.
 """
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import stored
 
-BLOCK = 256
 END = "<|end|>\n"
 
 
@@ -42,36 +42,32 @@ def _digest() -> Column:
     return F.sha2(F.concat_ws("\x00", "role", "text"), 256)
 
 
-def pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv_id, pair_id, rejected_id, side) of every conversation; side 0 is the chosen one."""
+def pairs(rows: DataFrame) -> DataFrame:
+    """(conv_id, pair_id, rejected_id, side) of every conversation; side 0 is the chosen one.
+
+    Conversations are ranged by (opening, id), so that a common opening fills many ranges. Each is numbered in its
+    range, and the counts of an opening's ranges, one row a range, make that its number among all."""
+    spark = rows.sparkSession
     order = F.struct(F.col("turn").isNotNull(), "turn", "copy")
     first = rows.groupBy("conv_id").agg(F.min_by(_digest(), order).alias("opening"))
-    near = Window.partitionBy("opening", F.floor(F.col("conv_id") / block))
-    first = _paired(first, near)
-    alone = first.where("other IS NULL").select("conv_id", "opening")
-    rest = _paired(alone, Window.partitionBy("opening"))
-    done = first.where("other IS NOT NULL").union(rest)
-    return done.select(
-        "conv_id",
-        F.when(F.col("side") == 0, F.col("conv_id")).otherwise(F.col("other")).alias("pair_id"),
-        F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("conv_id")).alias("rejected_id"),
-        "side",
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = first.where("conv_id IS NOT NULL").repartitionByRange(ranges, "opening", "conv_id")
+    known = stored(known.withColumn("range", F.spark_partition_id()), "preference-openings")
+    counts = known.groupBy("opening", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("opening").orderBy("range")) - F.col("n")
+    place = F.row_number().over(Window.partitionBy("range", "opening").orderBy("conv_id"))
+    numbered = known.withColumn("place", place).join(counts.withColumn("before", before), ["opening", "range"])
+    met = numbered.groupBy("opening", F.floor((F.col("before") + F.col("place") - 1) / 2).alias("number")).agg(
+        F.min("conv_id").alias("pair_id"), F.max("conv_id").alias("last")
     )
-
-
-def _paired(openings: DataFrame, group) -> DataFrame:
-    """(conv_id, opening, side, other): the first with the second by id, the third with the fourth and so on."""
-    order = group.orderBy("conv_id")
-    numbered = openings.withColumns(
-        {
-            "side": (F.row_number().over(order) - 1) % 2,
-            "after": F.lead("conv_id").over(order),
-            "before": F.lag("conv_id").over(order),
-        }
+    met = met.withColumn("rejected_id", F.when(F.col("last") != F.col("pair_id"), F.col("last")))
+    sides = F.array(F.struct(F.col("pair_id").alias("conv_id"), F.lit(0).alias("side")), F.struct("rejected_id", F.lit(1)))
+    both = met.select("pair_id", "rejected_id", F.explode(sides).alias("of")).where("of.conv_id IS NOT NULL")
+    absent = first.where("conv_id IS NULL")
+    nothing = F.lit(None).cast("long")
+    return both.select("of.conv_id", "pair_id", "rejected_id", "of.side").unionByName(
+        absent.select("conv_id", nothing.alias("pair_id"), nothing.alias("rejected_id"), F.lit(0).alias("side"))
     )
-    other = F.when(F.col("side") == 0, F.col("after")).otherwise(F.col("before"))
-    known = F.when(F.col("conv_id").isNotNull(), other)
-    return numbered.select("conv_id", "opening", "side", known.alias("other"))
 
 
 def rendered_pairs(conversations: DataFrame) -> DataFrame:

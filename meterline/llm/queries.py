@@ -135,23 +135,17 @@ WITH t AS (
 ), o AS (
   SELECT conv_id, role, text FROM t
   QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy) = 1
-), n1 AS (
-  SELECT conv_id, role, text,
-         row_number() OVER w AS rn, lead(conv_id) OVER w AS after, lag(conv_id) OVER w AS before
-  FROM o WINDOW w AS (PARTITION BY role, text, conv_id // 256 ORDER BY conv_id)
-), p1 AS (
-  SELECT conv_id, role, text, (rn - 1) % 2 AS side, CASE WHEN (rn - 1) % 2 = 0 THEN after ELSE before END AS other FROM n1
-), n2 AS (
+), n AS (
   SELECT conv_id, row_number() OVER w AS rn, lead(conv_id) OVER w AS after, lag(conv_id) OVER w AS before
-  FROM p1 WHERE other IS NULL WINDOW w AS (PARTITION BY role, text ORDER BY conv_id)
+  FROM o WHERE conv_id IS NOT NULL WINDOW w AS (PARTITION BY role, text ORDER BY conv_id)
 ), p AS (
-  SELECT conv_id, side, other FROM p1 WHERE other IS NOT NULL
+  SELECT conv_id, (rn - 1) % 2 AS side, CASE WHEN (rn - 1) % 2 = 0 THEN after ELSE before END AS other FROM n
   UNION ALL
-  SELECT conv_id, (rn - 1) % 2, CASE WHEN (rn - 1) % 2 = 0 THEN after ELSE before END FROM n2
+  SELECT conv_id, 0, NULL FROM o WHERE conv_id IS NULL
 ), d AS (
   SELECT t.*, p.side, CASE WHEN p.side = 0 THEN t.conv_id ELSE p.other END AS pair_id,
          CASE WHEN p.side = 0 THEN p.other ELSE t.conv_id END AS rejected_id
-  FROM t JOIN p USING (conv_id)
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
 ), cut AS (
   SELECT pair_id, min(struct_pack(turn := turn, copy := copy)) AS cut
   FROM (SELECT pair_id, turn, copy FROM d GROUP BY ALL
@@ -160,7 +154,7 @@ WITH t AS (
 ), parts AS (
   SELECT d.*, CASE WHEN cut.cut IS NULL OR struct_pack(turn := d.turn, copy := d.copy) < cut.cut THEN 'prompt'
                    WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part
-  FROM d LEFT JOIN cut USING (pair_id)
+  FROM d LEFT JOIN cut ON d.pair_id IS NOT DISTINCT FROM cut.pair_id
 )
 SELECT pair_id, pair_id AS chosen_id, rejected_id, part, turn, CAST(copy AS INT) AS copy, role,
        '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
