@@ -27,6 +27,7 @@ SYMBOLS = 128  # 0: no letter; 1-26: a-z; the rest: other letters, by a hash
 UNDETERMINED = "und"
 _SCALE = float(1 << 24)
 _PIECE = 400_000
+_TABLE = 4_000_000  # cells
 
 
 def _letters() -> np.ndarray:
@@ -83,13 +84,21 @@ class Encoder:
         marks[code] = True
         grams = np.flatnonzero(marks)
         self.place[grams] = np.arange(len(grams))
-        counts = np.bincount(
-            row.astype(np.int64) * len(grams) + self.place[code], minlength=len(texts) * len(grams)
-        )
-        weights = np.sqrt(counts, dtype=np.float32).reshape(len(texts), len(grams))
         a, b, c = grams >> 14, grams >> 7 & 127, grams & 127
         bound = np.roll(self.letter, 2, axis=1)[a] * np.roll(self.letter, 1, axis=1)[b]
-        return weights @ (bound * self.letter[c]).astype(np.float32), np.count_nonzero(weights, axis=1)
+        bound = (bound * self.letter[c]).astype(np.float32)
+        found = np.zeros((len(texts), self.dimensions), np.float32)
+        distinct = np.zeros(len(texts), np.int64)
+        step = max(1, _TABLE // len(grams))  # texts whose table of counts is held at once
+        for lo in range(0, len(texts), step):
+            hi = min(lo + step, len(texts))
+            i, j = np.searchsorted(row, (lo, hi))
+            at = (row[i:j].astype(np.int64) - lo) * len(grams) + self.place[code[i:j]]
+            counts = np.bincount(at, minlength=(hi - lo) * len(grams))
+            weights = np.sqrt(counts, dtype=np.float32).reshape(hi - lo, len(grams))
+            found[lo:hi] = weights @ bound
+            distinct[lo:hi] = np.count_nonzero(weights, axis=1)
+        return found, distinct
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
