@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from meterline.llm.common import id_crc, mixed, stored, words
 from meterline.session import new_shared_path
 
-UNIT_BYTES = 12 << 20
+UNIT_BYTES = 6 << 20
 SHARD_KEYS = 2_000_000
 BUCKETS = 48
 FOLDS = 10
-_STEPS = 4  # histogram cells an octave, for expectation maximisation
+_STEPS = 16  # histogram cells an octave, for expectation maximisation
+_ZERO = 4000  # the cell of the uniform share
 _END = 0
 _UNIT = (
     "unit string, deleted boolean, n_keys long, doc_ids array<long>, held_out array<boolean>, "
@@ -153,7 +154,8 @@ def _asked(units: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):  # one unit at a time
+                row = batch.slice(at, 1).to_pylist()[0]
                 hashes, tokens = unpacked(row["vocabulary"], np.uint64), unpacked(row["tokens"], np.uint32)
                 learnt = np.repeat(np.array(row["learn"], bool), row["sizes"])
                 ones, at_one, twos, at_two = _grams(hashes, tokens)
@@ -265,7 +267,7 @@ def _ratio_cells(unit: dict, answers: pa.Table, n: float, v: int) -> pa.Table:
     floor = 1 / (v + 1)
 
     def cell(p: np.ndarray) -> np.ndarray:
-        return np.where(p > 0, np.rint(np.log2(np.maximum(p, 1e-300) / floor) * _STEPS) + 1000, 0).astype(np.int64)
+        return np.where(p > 0, np.rint(np.log2(np.maximum(p, 1e-300) / floor) * _STEPS) + _ZERO, 0).astype(np.int64)
 
     p2 = np.where(context > 0, two / np.maximum(context, 1), 0)
     keys = bucket_of(context) << 32 | cell(p2) << 16 | cell(one / max(n, 1))
@@ -277,7 +279,7 @@ def learned_weights(cells: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
     """Mixture weights of each bucket by expectation maximisation; empty buckets get those of all together."""
 
     def ratio(cell: np.ndarray) -> np.ndarray:
-        return np.where(cell > 0, 2.0 ** ((cell - 1000) / _STEPS), 0)
+        return np.where(cell > 0, 2.0 ** ((cell - _ZERO) / _STEPS), 0)
 
     bucket = cells >> 32
     p = np.stack([ratio(cells >> 16 & 0xFFFF), ratio(cells & 0xFFFF), np.ones(len(cells))], axis=1)
