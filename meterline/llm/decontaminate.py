@@ -3,13 +3,18 @@
 Characters are folded one to one (simple lower case, white space to a space). A region within ``k`` edits of an item
 of length L shares at least ``L - q + 1 - k * q`` of the item's q-grams, and their diagonals (text position less item
 position) differ by at most ``k``. So hits are counted in bands of ``2 * (k + 1)`` diagonals that overlap by half,
-bands that reach the bound are kept, and each is verified by aligning the whole item inside the band.
-``k`` is ``error`` times L, lowered where needed so that the bound is at least one.
+bands that reach the bound are kept, and each is verified by aligning the whole item inside the band, ``k`` diagonals
+wider on both sides. ``k`` is ``error`` times L, lowered where needed so that the bound is at least one.
+
+Of an item of over ``WINDOW`` words each run of so many words, every ``STRIDE`` words, is searched for as well, so that
+a passage of ``WINDOW + STRIDE`` words of an item is found wherever it is cut. Such a region is given where the whole
+item does not match. Items of fewer than ``shortest`` characters besides white space, or shorter than q, are too short
+for a budget of edits: they match where they stand folded, letter by letter, between characters that are no letters or digits.
 
 The items are a stated query set. They are read in blocks of at most ``block_chars`` characters, each block against
 all rows, so what a task holds is bounded whatever the size of the benchmark.
 
-Defined results: items that are null or have fewer than ``shortest`` characters besides white space are not searched
+Defined results: items that are null or have no letter or digit are not searched
 for; a null item_id is carried as it is; null and empty texts match nothing; equal items each match; repeated rows
 each give their matches; of overlapping matches of an item that with fewest edits is given, then the first; long
 texts are read whole, in pieces that overlap. Only the named columns are read.
@@ -20,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +36,8 @@ from meterline.llm.common import code_points, mixed, rolling, slices, stored
 Q = 10
 ERROR = 0.07
 SHORTEST = 24
+WINDOW = 50
+STRIDE = 25
 _PIECE = 1_000_000
 _TABLE_BITS = 23
 
@@ -62,6 +70,8 @@ class Item:
     points: np.ndarray
     edits: int
     bound: int
+    part_of: int = -1  # the place of the item it is a window of
+    short: bool = False
 
 
 def edit_budget(length: int, q: int = Q, error: float = ERROR) -> tuple[int, int]:
@@ -70,12 +80,52 @@ def edit_budget(length: int, q: int = Q, error: float = ERROR) -> tuple[int, int
     return edits, length - q + 1 - edits * q
 
 
+def _windows(points: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of ``WINDOW`` words, one every ``STRIDE`` words and one at the end."""
+    word = points != 32
+    starts = np.flatnonzero(word & ~np.append(False, word[:-1]))
+    ends = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
+    last = len(starts) - WINDOW
+    if last > 0:
+        for i in sorted({*range(0, last, STRIDE), last}):
+            yield points[starts[i] : ends[i + WINDOW - 1]]
+
+
+def _spelled(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def items_of(rows: list[tuple[int | None, str | None]], q: int = Q, error: float = ERROR, shortest: int = SHORTEST):
+    """Items, after them their windows."""
     found = []
     for item_id, text in rows:
         points = folded((text or "").strip())
-        if (points != 32).sum() >= shortest and len(points) >= q:
+        if not any(map(str.isalnum, text or "")):
+            continue
+        if (points != 32).sum() < shortest or len(points) < q:
+            found.append(Item(item_id, points, 0, len(points), short=True))
+        else:
             found.append(Item(item_id, points, *edit_budget(len(points), q, error)))
+    windows = []
+    for i, item in enumerate(found):
+        for part in _windows(item.points):
+            if len(part) >= q:
+                windows.append(Item(item.item_id, part, *edit_budget(len(part), q, error), part_of=i))
+    return found + windows
+
+
+def _automaton(items: list[Item]):
+    """Short items by their folded text, or None."""
+    places: dict[str, list[int]] = {}
+    for i, item in enumerate(items):
+        if item.short:
+            places.setdefault(_spelled(item.points), []).append(i)
+    if not places:
+        return None
+    found = ahocorasick.Automaton()
+    for text, of in places.items():
+        found.add_word(text, (len(text), of))
+    found.make_automaton()
     return found
 
 
@@ -84,7 +134,9 @@ class Index:
 
     def __init__(self, items: list[Item], q: int = Q):
         self.items, self.q = items, q
-        grams = [mixed(rolling(i.points, q)) for i in items]
+        nothing = np.zeros(0, np.uint64)
+        grams = [nothing if i.short else mixed(rolling(i.points, q)) for i in items]
+        self.short = _automaton(items)
         self.longest = max((len(i.points) for i in items), default=0)
         self.most_edits = max((i.edits for i in items), default=0)
         all_grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
@@ -111,36 +163,62 @@ class Index:
         return np.repeat(at, n), self.item[posting], self.place[posting]
 
 
-def banded_alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """(edits, start, end) of the best match of the whole item inside the text; the first end, then the latest start."""
+_FAR = 1 << 40
+
+
+def banded_alignment(
+    item: np.ndarray, text: np.ndarray, low: int | None = None, high: int | None = None
+) -> tuple[int, int, int]:
+    """(edits, start, end) of the best match of the whole item inside the text on the diagonals (text position less
+    item position) from ``low`` to ``high``; the first end, then the latest start. All diagonals if none are given."""
     n = len(text)
-    steps = np.arange(n + 1)
-    row = np.zeros(n + 1, np.int64)
-    start = steps.copy()
-    for symbol in item:
-        swap = row[:-1] + (text != symbol)
-        drop = row + 1
-        best = drop.copy()
-        best[1:] = np.minimum(best[1:], swap)
-        origin = start.copy()
-        use = swap <= drop[1:]
-        origin[1:][use] = start[:-1][use]
-        level = best - steps
-        low = np.minimum.accumulate(level)
-        keep = np.maximum.accumulate(np.where(level == low, steps, 0))
-        row, start = low + steps, origin[keep]
+    low = -len(item) if low is None else low
+    high = n if high is None else high
+    diagonals = np.arange(low, high + 1)
+    row = np.where((diagonals >= 0) & (diagonals <= n), 0, _FAR)
+    start = diagonals.copy()
+    padded = np.concatenate([np.full(max(0, -low), -1, np.int64), text, np.full(max(0, high + len(item) - n), -1, np.int64)])
+    shift = max(0, -low)
+    for i, symbol in enumerate(item):
+        at = i + low + shift
+        swap = row + (padded[at : at + len(diagonals)] != symbol)
+        drop = np.append(row[1:], _FAR) + 1
+        use = swap <= drop
+        best = np.where(use, swap, drop)
+        origin = np.where(use, start, np.append(start[1:], 0))
+        place = diagonals + i + 1
+        best[(place < 0) | (place > n)] = _FAR
+        level = best - diagonals
+        least = np.minimum.accumulate(level)
+        keep = np.maximum.accumulate(np.where(level == least, np.arange(len(diagonals)), 0))
+        row, start = least + diagonals, origin[keep]
+        row[(place < 0) | (place > n)] = _FAR
     end = int(row.argmin())
-    return int(row[end]), int(start[end]), end
+    return int(row[end]), int(start[end]), int(diagonals[end] + len(item))
+
+
+def _short_matches(points: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """Short items where no letter or digit stands before or after them."""
+    if index.short is None:
+        return []
+    text = _spelled(points)
+    found = []
+    for last, (size, items) in index.short.iter(text):
+        lo, hi = last + 1 - size, last + 1
+        if not (lo and text[lo - 1].isalnum() and text[lo].isalnum()):
+            if not (hi < len(text) and text[hi].isalnum() and text[last].isalnum()):
+                found += [(i, lo, hi, 0, max(0, size - index.q + 1)) for i in items]
+    return found
 
 
 def matches(points: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
     """(item, start, end, edits, shared q-grams) of every region of one text."""
-    found = []
+    found = _short_matches(points, index)
     reach = index.longest + index.most_edits + index.q
     for at in range(0, max(len(points), 1), _PIECE):
         lo = max(0, at - 2 * reach)
         found += [(i, lo + s, lo + e, d, n) for i, s, e, d, n in _matches(points[lo : at + _PIECE], index)]
-    return _disjoint(found)
+    return _disjoint(found, index.items)
 
 
 def _bands(at: np.ndarray, item: np.ndarray, place: np.ndarray, index: Index):
@@ -159,23 +237,32 @@ def _matches(points: np.ndarray, index: Index):
     if not len(at):
         return []
     found = []
-    for own, band, hits in zip(*_bands(at, item, place, index), strict=True):
+    whole: dict[int, list[tuple[int, int]]] = {}
+    for own, band, hits in zip(*_bands(at, item, place, index), strict=True):  # items come before their windows
         it = index.items[own]
         width = it.edits + 1
         left = band * width - index.longest
         lo = max(0, left - it.edits)
         hi = min(len(points), left + 2 * width + len(it.points) + it.edits)
-        edits, s, e = banded_alignment(it.points, points[lo:hi]) if hi > lo else (it.edits + 1, 0, 0)
+        if any(s <= lo + 2 * width and hi - 2 * width <= e for s, e in whole.get(it.part_of, ())):
+            continue
+        if hi <= lo:
+            continue
+        edits, s, e = banded_alignment(it.points, points[lo:hi], left - it.edits - lo, left + 2 * width + it.edits - lo)
         if edits <= it.edits:
             found.append((int(own), int(lo + s), int(lo + e), edits, int(hits)))
+            if it.part_of < 0:
+                whole.setdefault(int(own), []).append((lo, hi))
     return found
 
 
-def _disjoint(found):
+def _disjoint(found, items: list[Item]):
+    """Windows count for their item, after the whole of it; of what overlaps the best stays."""
     kept = []
-    for row in sorted(set(found), key=lambda r: (r[0], r[3], r[1], r[2], -r[4])):
-        if not any(k[0] == row[0] and row[1] < k[2] and k[1] < row[2] for k in kept):
-            kept.append(row)
+    named = {(items[r[0]].part_of if items[r[0]].part_of >= 0 else r[0], items[r[0]].part_of >= 0, *r[1:]) for r in found}
+    for item, _, *row in sorted(named, key=lambda r: (r[0], r[1], r[4], r[2], r[3], -r[5])):
+        if not any(k[0] == item and row[0] < k[2] and k[1] < row[1] for k in kept):
+            kept.append((item, *row))
     return kept
 
 
@@ -233,7 +320,7 @@ def _rows_with_matches(texts: list[str | None], index: Index):
     """(row, item, start, end, edits, shared) of a batch. Texts are searched together for hits, which are rare, and
     only those with enough of them one by one."""
     found = []
-    least = int(index.bounds.min()) if len(index.bounds) else 1
+    least = min((item.bound for item in index.items if not item.short), default=1)
     for start, end in slices((len(t or "") + 1 for t in texts), _PIECE):
         part = [t or "" for t in texts[start:end]]
         if len(part) == 1:
@@ -244,7 +331,7 @@ def _rows_with_matches(texts: list[str | None], index: Index):
         at = np.flatnonzero(index.filter[grams >> np.uint64(64 - _TABLE_BITS)])
         begin = np.append(0, np.cumsum([len(t) + 1 for t in part]))
         hits = np.diff(np.searchsorted(at, begin))
-        for i in np.flatnonzero(hits >= least):
+        for i in np.flatnonzero(hits >= least) if index.short is None else range(len(part)):
             own = points[begin[i] : begin[i + 1] - 1] if i + 1 < len(part) else points[begin[i] :]
             found += [(int(start + i), *m) for m in matches(own, index)]
     return found
