@@ -61,8 +61,9 @@ def pairs(rows: DataFrame) -> DataFrame:
         F.min("conv_id").alias("pair_id"), F.max("conv_id").alias("last")
     )
     met = met.withColumn("rejected_id", F.when(F.col("last") != F.col("pair_id"), F.col("last")))
-    sides = F.array(F.struct(F.col("pair_id").alias("conv_id"), F.lit(0).alias("side")), F.struct("rejected_id", F.lit(1)))
-    both = met.select("pair_id", "rejected_id", F.explode(sides).alias("of")).where("of.conv_id IS NOT NULL")
+    chosen = F.struct(F.col("pair_id").alias("conv_id"), F.lit(0).alias("side"))
+    rejected = F.struct(F.col("rejected_id").alias("conv_id"), F.lit(1).alias("side"))
+    both = met.select("pair_id", "rejected_id", F.explode(F.array(chosen, rejected)).alias("of")).where("of.conv_id IS NOT NULL")
     absent = first.where("conv_id IS NULL")
     nothing = F.lit(None).cast("long")
     return both.select("of.conv_id", "pair_id", "rejected_id", "of.side").unionByName(
