@@ -101,6 +101,19 @@ def test_pairs_share_a_prompt(spark):
     assert preference.rendered_pairs(_conversations(spark, []).limit(0)).count() == 0
 
 
+def test_pairs_follow_the_ids_of_an_opening(spark):
+    """Null ids have no partner, and sparse ids are paired in their order."""
+    for ids in ([7, None], [7, 9, None], sorted(hash((i, 3)) % 10**15 for i in range(301))):
+        data = [(i, 0, "user", "hi", "p") for i in ids] + [(5, 0, "user", "else", "p")]
+        got = preference.pairs(preference.turns(_conversations(spark, data))).collect()
+        known = [i for i in ids if i is not None]
+        want = {(5, 5, None, 0)} | {(None, None, None, 0) for i in ids if i is None}
+        for a in range(0, len(known), 2):
+            pair = known[a : a + 2]
+            want |= {(x, pair[0], pair[1] if len(pair) > 1 else None, side) for side, x in enumerate(pair)}
+        assert len(got) == len(want) and {(r.conv_id, r.pair_id, r.rejected_id, r.side) for r in got} == want
+
+
 def test_native_plans_have_no_python(spark):
     docs = documents(spark)
     frame = preference.rendered_pairs(_conversations(spark, [(1, 0, "user", "a", "b")]))

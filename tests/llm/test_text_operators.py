@@ -320,7 +320,7 @@ def test_equal_lengths_leave_little_padding():
 
 
 def test_contamination(spark):
-    items = [(1, "The Quick brown fox, jumping over seven lazy dogs at noon"), (2, None), (3, "short"), (4, " " * 40)]
+    items = [(1, "The Quick brown fox, jumping over seven lazy dogs at noon"), (2, None), (3, "shorter"), (4, " " * 40)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     pad = "lorem ipsum dolor sit amet " * 20
     texts = {
@@ -342,6 +342,50 @@ def test_contamination(spark):
     assert decontaminate.contaminated_regions(nothing(spark), benchmark).count() == 0
 
 
+def test_short_items_and_passages_are_found():
+    draw = random.Random(3)
+    words_ = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(400)]
+    long = " ".join(draw.choices(words_, k=100))
+    pad = " ".join(draw.choices(words_, k=300))
+    items = [(1, long), (2, "Paris is the capital."), (3, "The answer is 42 km/h"), (4, "..."), (None, "xyz")]
+    index = decontaminate.Index(decontaminate.items_of(items))
+
+    def found(text):
+        return [(index.items[i].item_id, s, e) for i, s, e, *_ in decontaminate.matches(decontaminate.folded(text), index)]
+
+    assert found(f"{pad} {long} {pad}") == [(1, len(pad) + 1, len(pad) + 1 + len(long))]  # its windows are not given again
+    for a, b in ((0, 90), (10, 100), (5, 95), (20, 96)):
+        part = " ".join(long.split()[a:b])
+        ((item, s, e),) = found(f"{pad} {part} {pad}")
+        assert item == 1 and s < len(pad) + 1 + len(part) and e > len(pad) + 1
+    assert found(f"{pad} {' '.join(long.split()[40:60])} {pad}") == []
+    assert found("see: PARIS is\tthe capital. So") == [(2, 5, 26)]
+    assert found("the answer is 42 km/hour or xyzz ...") == []
+    assert found("the answer is 42 km/h xyz") == [(3, 0, 21), (None, 22, 25)]
+    got = decontaminate._rows_with_matches([pad, "Paris is the capital.", None, long], index)
+    assert [(r[0], r[2], r[3]) for r in got] == [(1, 0, 21), (3, 0, len(long))]
+
+
+def test_regions_match_a_search_of_all_regions():
+    """Every text that holds an item within its edits is found, and no other, by aligning each item over the whole text."""
+    draw = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnop "))
+    text_of = lambda n: "".join(draw.choice(letters, n)).strip()
+    items = [(i, text_of(60 + 7 * i)) for i in range(6)]
+    index = decontaminate.Index(decontaminate.items_of(items))
+    for trial in range(60):
+        own = list(items[trial % 6][1])
+        for _ in range(trial % 9):
+            at = int(draw.integers(len(own)))
+            own[at : at + int(draw.integers(2))] = list(draw.choice(letters, int(draw.integers(2))))
+        points = decontaminate.folded(text_of(80) + "".join(own) + text_of(80))
+        want = {
+            i for i, item in enumerate(index.items)
+            if decontaminate.banded_alignment(item.points, points)[0] <= item.edits
+        }
+        assert {m[0] for m in decontaminate.matches(points, index)} == want
+
+
 def test_banded_alignment_matches_the_plain_table():
     draw = np.random.default_rng(4)
     for _ in range(30):
