@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from meterline.llm.common import id_crc, mixed, stored, words
 from meterline.session import new_shared_path
 
-UNIT_BYTES = 6 << 20
+UNIT_BYTES = 4 << 20
 SHARD_KEYS = 2_000_000
 BUCKETS = 48
 FOLDS = 10
