@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Several stages have learned models or hashes that SQL lacks; tests hold the run against plain Python.
+#: Several stages have learned models or hashes that SQL lacks. The stages' operators have tests of their own.
 ORACLE_SQL = None
