@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import fresh, mixed, stored, words
+from meterline.llm.common import fresh, stored, words
 
 SEED = 42
 BITS = 64
@@ -53,21 +53,22 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the 64 bits as a signed long."""
+def _printed(rows: DataFrame, shingle: int) -> DataFrame:
+    """The rows, whose last column is ``text``, with ``fp`` in its place: 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array(
-                [fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64
-            ).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found)], names=["doc_id", "fp"]
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=[*names, "fp"])
+
+    names = rows.columns[:-1]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    return rows.mapInArrow(run, ", ".join([*kinds, "fp long"]))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """(doc_id, fp) of every row."""
+    return _printed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")), shingle)
 
 
 # --- plan: partitions of correlated bits and their thresholds
@@ -333,95 +334,23 @@ def near_duplicates(
     """(doc_id, fp, component_id) of every row; component_id is the smallest id reachable by links."""
     prints = stored(fingerprints(docs, shingle), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-prints")
-    roots = components(links(nodes, distance, bucket_rows))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(nodes, distance, bucket_rows)
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_print = stored(rooted.join(ids, "root").select("fp", "component_id"), "print-components")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def hex_digits(fp: Column) -> Column:
-    return F.lpad(F.lower(F.hex(fp)), 16, "0")
-
-
-
-# --- near copies by similarity of word shingles
-
-SIMILAR = 0.8
-_CHECKED = 512  # bits compared in a bucket
-#: So many of them may differ. A bit of two sets at 0.8 differs with a probability of 0.1875 at most (4 of 5 shingles
-#: shared; 0.15 for large sets); more than 152 of 512 then differ with a probability below 1e-9.
-_LOOSE = 152
-_CELLS = 1 << 20
-_CELL_BLOCK = 1 << 14
-
-
-def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    tokens = words(text)
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    runs = [b" ".join(tokens)] if len(tokens) <= shingle else map(b" ".join, zip(*(tokens[i:] for i in range(shingle)), strict=False))
-    return np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), np.uint64)
-
-
-def wide_fingerprint(hashes: np.ndarray, blocks: int) -> bytes:
-    """A SimHash of ``64 * blocks`` bits over the distinct shingles; each block mixes the hashes anew."""
-    hashes, found = np.unique(hashes), []
-    for block in range(blocks):
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), _BLOCK):
-            part = mixed(hashes[at : at + _BLOCK] + np.uint64((block + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.uint32)
-        found.append(np.packbits((ones * 2 > len(hashes)).astype(np.uint8), bitorder="little"))
-    return b"".join(f.tobytes() for f in found)
-
+def _rooted(nodes: DataFrame, distance: int, bucket_rows: int) -> DataFrame:
+    """The distinct fingerprints, with the ``root`` of their component."""
+    roots = components(links(nodes, distance, bucket_rows)).toDF("node", "root")
+    return nodes.join(roots, nodes.fp == roots.node, "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(BITS - 20)).astype(np.int64)
 
+def hex_digits(fp: Column) -> Column:
+    return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
-def commonness(docs: DataFrame, shingle: int) -> np.ndarray:
-    """How common shingles are, as the power of two of the rows that have one of the same cell of ``_CELLS``.
-
-    All rows are counted. Each task adds up in a table of fixed size; one byte a cell reaches the driver."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(_CELLS, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                np.add.at(table, _cells(np.unique(shingle_hashes(text.as_py(), shingle))), 1)
-        for block, part in enumerate(table.reshape(-1, _CELL_BLOCK)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tobytes()])], names=["block", "part"])
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[block] = sums.get(block, 0) + np.frombuffer(part.as_buffer(), np.int64)
-        for block, total in sums.items():
-            power = np.ceil(np.log2(total + 1)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([power.tobytes()])], names=["block", "part"])
-
-    kind = "block long, part binary"
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(counted, kind)
-    found = np.zeros((_CELLS // _CELL_BLOCK, _CELL_BLOCK), np.uint8)
-    for block, part in parts.repartition("block").mapInArrow(added, kind).collect():
-        found[block] = np.frombuffer(part, np.uint8)
-    return found.ravel()
-
-
-def prefix(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The rarest of a set's distinct shingles, in one order for all sets, so many that two sets with a similarity of
-    ``SIMILAR`` or more have one of them in common: any order finds all pairs, that of rarity with fewest others."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    kept = n - int(np.ceil(SIMILAR * n - 1e-6)) + 1
-    return hashes[np.lexsort((hashes, common[_cells(hashes)]))[:kept]]
+_NAMES = ["no_id", "id", "copy"]
 
 
 def _named(docs: DataFrame) -> list[Column]:
@@ -431,255 +360,14 @@ def _named(docs: DataFrame) -> list[Column]:
     return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), copy.alias("copy")]
 
 
-_NAMES = ["no_id", "id", "copy"]
-
-
-def _wide(docs: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
-    """(no_id, id, copy, node, bits, prefix) of every row; the node is a hash of the set of shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, prints, rare = [], [], []
-            for text in batch.column(3):
-                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
-                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()) >> 1)
-                prints.append(wide_fingerprint(hashes, _CHECKED // BITS))
-                rare.append(prefix(hashes, common).view(np.int64))
-            found = [pa.array(nodes, pa.int64()), pa.array(prints, pa.binary()), pa.array(rare, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=[*_NAMES, "node", "bits", "prefix"])
-
-    return docs.select(*_named(docs), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "no_id boolean, id long, copy long, node long, bits binary, prefix array<long>"
-    )
-
-
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """(place, node, bits) for each shingle of each prefix that another prefix has too."""
-    probes = stored(nodes.select("node", F.explode("prefix").alias("place")), "similar-probes")
-    shared = probes.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("place")
-    return probes.join(shared, "place", "left_semi").join(nodes.select("node", "bits"), "node")
-
-
-_SMALL = 64
-_CHUNK = 1024
-
-
-def _hubs_of(bits: np.ndarray) -> np.ndarray:
-    """The four members closest to the majority of a bucket, near which the source of many copies lies."""
-    spread = np.unpackbits(bits.view(np.uint8).reshape(len(bits), -1), axis=1)
-    middle = np.packbits(spread.mean(axis=0) > 0.5).view(np.uint64)
-    return np.argsort(np.bitwise_count(bits ^ middle).sum(axis=1), kind="stable")[:4]
-
-
-def _close(nodes: np.ndarray, bits: np.ndarray):
-    """First links to try in a bucket: in a small one all that are close, in a larger one, for each member, its four
-    closest and the four hubs. The rest of a larger one is tried by ``_rest``."""
-    n = len(nodes)
-    small = n <= _SMALL
-    hubs = None if small else _hubs_of(bits)
-    left, right = [], []
-    for at in range(0, n, 128):
-        apart = np.bitwise_count(bits[at : at + 128, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int16)
-        rows = np.arange(len(apart))
-        apart[rows, at + rows] = 1 << 12
-        near = apart <= _LOOSE
-        if not small:
-            wanted = np.zeros_like(near)
-            wanted[rows[:, None], np.argpartition(apart, 4, axis=1)[:, :4]] = True
-            wanted[:, hubs] = True
-            near &= wanted
-        a, b = np.nonzero(near)
-        left.append(nodes[at + a])
-        right.append(nodes[b])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _as_bits(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
-    """The rows of each group, where a partition is sorted by the keys."""
-    kept: list[pa.RecordBatch] = []
-    for batch in itertools.chain(batches, [None]):
-        kept += [batch] if batch is not None and batch.num_rows else []
-        if not kept or (batch is not None and not batch.num_rows):
-            continue
-        rows = pa.Table.from_batches(kept).combine_chunks()
-        change = np.zeros(rows.num_rows - 1, bool)
-        for key in keys:
-            values = rows[key].to_numpy()
-            change |= values[1:] != values[:-1]
-        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
-        stops = [*starts[1:], rows.num_rows]
-        last = batch is None
-        for a, b in zip(starts if last else starts[:-1], stops, strict=False):
-            yield rows.slice(a, b - a)
-        kept = [] if last else rows.slice(starts[-1]).combine_chunks().to_batches()
-
-
-def _ordered(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
-
-
-def _by_group(buckets: DataFrame, *keys: str) -> DataFrame:
-    return buckets.repartition(*keys).sortWithinPartitions(*keys)
-
-
-def _candidates(buckets: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_groups(batches, "place"):
-            if rows.num_rows > 1:
-                u, v = _close(rows["node"].to_numpy(), _as_bits(rows["bits"]))
-                if len(u):
-                    yield _ordered(u, v)
-
-    return _by_group(buckets.select("place", "node", "bits"), "place").mapInArrow(run, "u long, v long").distinct()
-
-
-def _hubs(chunks: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_groups(batches, "place"):
-            yield from rows.take(_hubs_of(_as_bits(rows["bits"]))).select(["whole", "node", "bits"]).to_batches()
-
-    chosen = _by_group(chunks.select("place", "whole", "node", "bits"), "place")
-    return chosen.mapInArrow(run, "place long, node long, bits binary")
-
-
-def _first_candidates(buckets: DataFrame, bucket_rows: int) -> DataFrame:
-    """Buckets above ``bucket_rows`` are tried in chunks; then the hubs of their chunks form a bucket, and so on."""
-    found, level = None, buckets
-    while True:
-        sizes = level.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
-        large = stored(sizes.where(F.col("n") > bucket_rows), "similar-large")
-        if large.isEmpty():
-            done = _candidates(level)
-            return done if found is None else found.union(done)
-        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / _CHUNK))
-        chunks = level.join(large, "place").select(
-            F.xxhash64("place", part).alias("place"), F.col("place").alias("whole"), "node", "bits"
-        )
-        chunks = stored(chunks, "similar-chunks")
-        done = _candidates(level.join(large, "place", "left_anti")).union(_candidates(chunks))
-        found = done if found is None else found.union(done)
-        level = stored(_hubs(chunks), "similar-hubs")
-
-
-def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """All close pairs of the larger buckets whose members the links found so far do not connect.
-
-    Most of a large bucket is one component, its main one. Members outside it are compared with all members, in
-    blocks of bounded size, so the work is their number times the size of the bucket and no task holds a bucket."""
-    sizes = buckets.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _SMALL)
-    rows = buckets.join(sizes, "place").join(roots, "node", "left")
-    rows = stored(rows.select("place", "n", "node", "bits", F.coalesce("root", "node").alias("root")), "similar-rooted")
-    shares = rows.groupBy("place", "root").agg(F.count(F.lit(1)).alias("k"))
-    mains = shares.groupBy("place").agg(F.max_by("root", F.struct("k", "root")).alias("main"), (F.sum("k") - F.max("k")).alias("others"))
-    mains = stored(mains.where("others > 0"), "similar-mains")
-    rows = rows.join(mains, "place").withColumns({
-        "down": F.ceil(F.col("n") / _CHUNK), "across": F.ceil(F.col("others") / _CHUNK),
-    })
-
-    def blocks(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-
-    salt = F.xxhash64("node")
-    members = rows.select("place", "node", "bits", "root", F.pmod(salt, "down").alias("i"), blocks("across").alias("j"), F.lit(False).alias("outside"))
-    outside = rows.where("root != main").select(
-        "place", "node", "bits", "root", blocks("down").alias("i"), F.pmod(salt, "across").alias("j"), F.lit(True).alias("outside")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_groups(batches, "place", "i", "j"):
-            node, root, bits = rows["node"].to_numpy(), rows["root"].to_numpy(), _as_bits(rows["bits"])
-            out = rows["outside"].to_numpy()
-            a, b = np.flatnonzero(out), np.flatnonzero(~out)
-            for at in range(0, len(a), 128):
-                some = a[at : at + 128]
-                apart = np.bitwise_count(bits[some, None, :] ^ bits[None, b, :]).sum(axis=2, dtype=np.int16)
-                x, y = np.nonzero((apart <= _LOOSE) & (root[some, None] != root[None, b]))
-                if len(x):
-                    yield _ordered(node[some[x]], node[b[y]])
-
-    return _by_group(members.union(outside), "place", "i", "j").mapInArrow(run, "u long, v long").distinct()
-
-
-def similar_roots(docs: DataFrame, nodes: DataFrame, shingle: int, bucket_rows: int):
-    """(node, root) of what pairs with a Jaccard similarity of ``SIMILAR`` or more connect. They share a bucket."""
-    buckets = stored(_buckets(nodes), "similar-buckets")
-    tried = stored(_first_candidates(buckets, bucket_rows).distinct(), "similar-candidates")
-    first = stored(_verified_similarity(docs, nodes, tried, shingle), "similar-links")
-    roots = stored(components(first), "similar-roots")
-    rest = stored(_rest(buckets, roots).join(tried, ["u", "v"], "left_anti"), "similar-rest")
-    more = stored(_verified_similarity(docs, nodes, rest, shingle), "similar-more")
-    if more.isEmpty():
-        return roots
-    stars = roots.where("node != root").select(F.col("root").alias("u"), F.col("node").alias("v"))
-    return components(stars.union(more))  # from stars, so in few rounds
-
-
-def _verified_similarity(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    used = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stored(nodes.join(used, "node").select("first.*"), "similar-ids")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(0)]
-            nodes_ = [xxhash.xxh64_intdigest(h.tobytes()) >> 1 for h in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes_, pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], names=["node", "own"]
-            )
-
-    texts = docs.select(*_named(docs), F.col("text").cast("string").alias("text"))
-    known = stored(texts.join(wanted, _NAMES, "left_semi").select("text").mapInArrow(sets, "node long, own binary"), "similar-sets")
-    known = known.dropDuplicates(["node"])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(common >= SIMILAR * (len(a) + len(b) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    left, right = known.toDF("u", "a"), known.toDF("v", "b")
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
-
-
-def _similar_nodes(docs: DataFrame, shingle: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(no_id, id, copy, node) of every row, and (node, first, root) of every node: ``first`` names the row of the
-    node with the smallest id, null last, then the smallest hash of its text."""
-    wide = stored(_wide(docs, shingle, commonness(docs, shingle)), "wide-prints")
-    nodes = wide.groupBy("node").agg(
-        F.min(F.struct(*_NAMES)).alias("first"), F.min("bits").alias("bits"), F.min("prefix").alias("prefix")
-    )
-    nodes = stored(nodes, "similar-nodes")
-    linked = similar_roots(docs, nodes, shingle, bucket_rows).withColumnRenamed("node", "of")
-    rooted = nodes.join(linked, F.col("node") == F.col("of"), "left").select(
-        "node", "first", F.coalesce("root", "node").alias("root")
-    )
-    return wide.select(*_NAMES, "node"), stored(rooted, "similar-rooted-nodes")
-
-
-def similar_documents(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
-    """(doc_id, component_id): documents linked by a similarity of their word shingles of ``SIMILAR`` or more.
-
-    Prefix filtering proposes all pairs that can be alike, wide SimHashes rule most others out, exact Jaccard similarity
-    of the shingle sets decides. Texts with equal sets are one node from the start. Texts without words are alike. The component of texts without an id alone is null."""
-    wide, rooted = _similar_nodes(docs, shingle, bucket_rows)
-    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    component = F.when(~F.col("least.no_id"), F.col("least.id")).alias("component_id")
-    ids = stored(rooted.join(least, "root").select("node", component), "similar-components")
-    return wide.join(ids, "node").select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, bucket_rows: int = 2048) -> DataFrame:
-    """The rows, with all their columns, less near copies: of each component one row stays, that with the smallest id
-    (null last), then the smallest hash of its text. Ids may be null or repeated; of rows with both the same id and
-    the same text one stays."""
-    _, rooted = _similar_nodes(docs, shingle, bucket_rows)
-    keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, bucket_rows: int = 2048) -> DataFrame:
+    """The rows, with all their columns, less near copies: of each component of linked fingerprints one row stays,
+    that with the smallest id (null last), then the smallest hash of its text. Ids may be null or repeated; of rows
+    with both the same id and the same text one stays. Texts without a word are one component."""
+    named = docs.select(*_named(docs), F.col("text").cast("string").alias("text"))
+    prints = stored(_printed(named, shingle), "named-prints")
+    nodes = stored(prints.groupBy("fp").agg(F.min(F.struct(*_NAMES)).alias("first")), "distinct-prints")
+    keep = _rooted(nodes, distance, bucket_rows).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     names = [fresh(name, docs.columns) for name in _NAMES]
     keep = stored(keep, "kept-rows").toDF(*names)
     named = docs.select("*", *[c.alias(name) for c, name in zip(_named(docs), names, strict=True)])

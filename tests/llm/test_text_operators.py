@@ -108,80 +108,33 @@ def test_thresholds_are_exact_and_unequal():
     )
 
 
-def test_near_copies_by_similarity(spark):
-    draw = random.Random(1)
-    base = sentence(draw, "en", 120).split()
-    copies = [" ".join(base[:i] + ["changed"] + base[i + 1 :]) for i in (10, 60, 100)]
-    far = " ".join(base[:60]) + " " + sentence(draw, "en", 60)
-    data = [(i, t, "en", "s", 1, None, None) for i, t in enumerate([" ".join(base), *copies, far, sentence(draw, "fr", 80)])]
-    docs = documents(spark, data)
-    got = dict(_collected(simhash.similar_documents(docs)))
-    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 5}
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 4, 5]
-    assert simhash.one_of_each(nothing(spark)).count() == 0
-
-
-def test_near_copies_at_the_least_similarity(spark):
-    """Short and long pairs at exactly 0.8 or just above, and pairs just below, with a line that many share."""
-    draw = random.Random(6)
-    line = sentence(draw, "en", 9)
-    texts = []
-    for k in range(400):
-        n = (8, 8, 16, 44)[k % 4]
-        tokens = [f"w{draw.randrange(10**9)}" for _ in range(n)] + (line.split() if n == 44 else [])
-        more = max(1, (len(tokens) - 4) // 4)
-        texts += [" ".join(tokens), " ".join([*tokens, *(f"x{draw.randrange(10**9)}" for _ in range(more + (k % 8 > 5)))])]
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
-    plain = {}
-    for i in range(0, len(texts), 2):
-        a, b = sets[i : i + 2]
-        plain |= {i: i, i + 1: i if len(a & b) * 5 >= len(a | b) * 4 else i + 1}
-    assert 200 < sum(i != c for i, c in plain.items()) < 400
-    docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in enumerate(texts)])
-    assert dict(_collected(simhash.similar_documents(docs))) == plain
-
-
-def test_one_row_of_each_component_with_null_and_repeated_ids(spark):
+def test_one_of_each_component_against_brute_force(spark):
+    """Exact copies, copies with one of many words changed, null and repeated ids, texts without a word."""
     draw = random.Random(4)
-    a, b, c, d, e = (sentence(draw, "en", 60).split() for _ in range(5))
-    near = lambda words_: " ".join([*words_[:-1], "changed"])
-    data = [
-        (None, " ".join(a)), (None, " ".join(b)), (None, near(b)), (None, " ".join(b)),  # without an id: two texts
-        (1, " ".join(c)), (None, near(c)),  # a near copy without an id goes
-        (2, " ".join(d)), (2, " ".join(e)), (2, " ".join(e)),  # two texts under one id
-        (3, near(e)), (1, near(d)),  # near copies of both
-        (None, None), (None, ""), (5, " \t"),  # no words
-    ]
+    long = [sentence(draw, "en", 600).split() for _ in range(6)]
+    data = [(r[0], r[1]) for r in rows()]
+    for k, tokens in enumerate(long):
+        for i in range(12):
+            at = draw.randrange(600)
+            data.append((None if i == 5 else 100 + 13 * k - i, " ".join([*tokens[:at], f"new{i}", *tokens[at + 1 :]])))
+        data += [(100 + 13 * k, " ".join(tokens)), (None, " ".join(tokens)), (7, " ".join(tokens))]
+    data += [(2, "two texts"), (2, "under one id"), (None, "without an id"), (None, "two of them"), (None, "two of them")]
+    prints = [(i, _plain_fingerprint(t)) for i, (_, t) in enumerate(data)]
+    groups = {}
+    for i, component in _plain_components(prints):
+        groups.setdefault(component, []).append(i)
+    assert 20 < len(groups) < len(data) - 40
     docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in data])
-    kept = _collected(simhash.one_of_each(docs).select("doc_id", "text"))
-    of_b = [k for k in kept if k in {(None, " ".join(b)), (None, near(b))}]
-    rest = [k for k in kept if k not in of_b]
-    assert len(of_b) == 1
-    assert set(rest) == {(None, " ".join(a)), (1, " ".join(c)), (1, near(d)), (2, " ".join(e)), (5, " \t")}
-    assert len(rest) == 5
-
-
-@pytest.mark.parametrize("bucket_rows", [40, 2048])
-def test_near_copies_in_large_buckets(spark, bucket_rows):
-    draw = random.Random(2)
-    first = sentence(draw, "en", 120).split()
-    second = first[:50] + sentence(draw, "en", 12).split() + first[62:]  # like the first, but not enough
-    texts = [" ".join(first), " ".join(second), sentence(draw, "fr", 90)]
-    for k in range(160):
-        base, at = (first, second)[k % 2], draw.randrange(120)
-        texts.append(" ".join(base[:at] + [f"other{k}"] + base[at + 1 :]))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
-    least = list(range(len(texts)))
-    for _ in range(4):
-        for i, a in enumerate(sets):
-            near = [j for j, b in enumerate(sets) if len(a & b) >= 0.8 * len(a | b)]
-            low = min(least[j] for j in near)
-            for j in near:
-                least[j] = low
-    assert len(set(least)) == 3
-    docs = documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in enumerate(texts)])
-    assert dict(_collected(simhash.similar_documents(docs, bucket_rows=bucket_rows))) == dict(enumerate(least))
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    kept = _collected(kept.select("doc_id", "text"))
+    assert len(kept) == len(groups)
+    group_of = {(data[i][0], data[i][1]): g for g, members in groups.items() for i in members}
+    assert sorted(group_of[row] for row in kept) == sorted(groups)
+    for row in kept:
+        ids = [data[i][0] for i in groups[group_of[row]] if data[i][0] is not None]
+        assert row[0] == min(ids, default=None)
+    assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
 # --- language
