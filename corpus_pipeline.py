@@ -25,7 +25,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest id."""
+    """One document of each group of near copies stays: that with the smallest id. Copies are what the SimHash operator
+    links with its own shingles of three words and three bits."""
     return simhash.one_of_each(docs)
 
 
