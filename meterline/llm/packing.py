@@ -18,6 +18,7 @@ one by one, and texts with special tokens or rare characters go through the toke
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
@@ -27,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ _PIECE = 1_000_000
 _MOST_WORDS = 600_000
 # The tokenizer file's own pattern (a fixed value of the public vocabulary).
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n")  # the same on lower-cased ASCII, and line ends
+_LATIN_WORD = regex.compile(_WORD.pattern + r"|\n")
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-įı-ſ]+")
 _WHOLE = ("<|", "\x00", "\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -51,6 +55,26 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
+class Numbers(dict):
+    """Numbers of strings in the order in which they are first asked for; ``new`` lists those not yet worked on."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def taken(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
 class WordIds:
     """Ids of texts, with those of words met before kept (at most ``_MOST_WORDS``)."""
 
@@ -66,54 +90,61 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[str, int] = {}  # of words, which are runs of pieces
+        self.slot = Numbers()  # of words, which are runs of pieces
         self.size, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
-        self.piece: dict[str, int] = {}
-        self.piece_size, self.piece_first = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.piece = Numbers()
+        self.piece["\n"] = 0  # ends a word and has no ids
+        self.piece_size, self.piece_first = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.piece_ids = np.zeros(0, np.uint32)
 
-    def _pieces(self, pieces: list[str], odd: list[str]) -> None:
-        """Adds new pieces, and words that only the whole tokenizer may cut, under their own name."""
+    def _pieces(self) -> None:
+        """Finds the ids of new pieces, and of words that only the whole tokenizer may cut, which are named after a mark."""
+        new = self.piece.taken()
+        if not new:
+            return
+        odd = np.array([p[0] == "\x00" for p in new])
         letters = self.letters
-        spelled = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in pieces]
+        spelled = [
+            p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in new if p[0] != "\x00"
+        ]
         runs = [spelled[i : i + 1000] for i in range(0, len(spelled), 1000)]
         found = self.model.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)
         flat = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in found]])
         stops = np.flatnonzero(self.ends[flat]) + 1
-        if len(stops) != len(pieces):
+        if len(stops) != len(spelled):
             raise ValueError("a word without an end")
-        whole = [e.ids for e in self.whole.encode_batch_fast(odd, add_special_tokens=False)]
-        sizes = np.append(np.diff(np.append(0, stops)), np.array([len(w) for w in whole], np.int64))
-        flat = np.concatenate([flat, *[np.array(w, np.uint32) for w in whole]])
-        known = len(self.piece)
-        self.piece.update(zip(chain(pieces, map("\x00".__add__, odd)), range(known, known + len(sizes)), strict=True))
-        self.piece_first = np.concatenate([self.piece_first, len(self.piece_ids) + np.cumsum(sizes) - sizes])
-        self.piece_size = np.concatenate([self.piece_size, sizes])
-        self.piece_ids = np.concatenate([self.piece_ids, flat])
-
-    def _cut(self, word: str) -> list[str]:
-        if word.isascii() or _PLAIN.fullmatch(word):
-            if word.isalpha():
-                return [word.lower()]
-            if word[:-1].isalpha():  # one mark or digit at the end is a piece of its own
-                return [word[:-1].lower(), word[-1]]
-            return _WORD.findall(word.lower())
-        return ["\x00" + word]
-
-    def _grow(self, words: list[str]) -> None:
-        """Adds words without white space."""
-        cut = list(map(self._cut, words))
-        parts = list(chain.from_iterable(cut))
-        new = [p for p in dict.fromkeys(parts) if p not in self.piece]
-        self._pieces([p for p in new if p[0] != "\x00"], [p[1:] for p in new if p[0] == "\x00"])
-        at = np.fromiter(map(self.piece.__getitem__, parts), np.int64, len(parts))
-        edge = np.append(0, np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
+        whole = [e.ids for e in self.whole.encode_batch_fast([p[1:] for p in new if p[0] == "\x00"], add_special_tokens=False)]
+        inner = np.append(np.diff(np.append(0, stops)), np.array([len(w) for w in whole], np.int64))
+        size, first = np.zeros((2, len(new)), np.int64)
+        order = np.argsort(odd, kind="stable")
+        size[order], first[order] = inner, len(self.piece_ids) + np.cumsum(inner) - inner
+        self.piece_first = np.concatenate([self.piece_first, first])
+        self.piece_size = np.concatenate([self.piece_size, size])
+        self.piece_ids = np.concatenate([self.piece_ids, flat, *[np.array(w, np.uint32) for w in whole]])
+
+    def _grow(self) -> None:
+        """Finds the ids of new words, which are without white space. They are cut many at a time, a line each."""
+        words = self.slot.taken()
+        if not words:
+            return
+        kind = np.array([0 if w.isascii() else 1 if _PLAIN.fullmatch(w) else 2 for w in words])
+        order = np.argsort(kind, kind="stable")
+        counts = np.bincount(kind, minlength=3)
+        sorted_words = [words[i] for i in order.tolist()]
+        ascii_, latin, odd = (sorted_words[e - n : e] for e, n in zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True))
+        parts = _ASCII_WORD.findall("\n".join([*ascii_, ""]).lower())
+        parts += _LATIN_WORD.findall("\n".join([*latin, ""]).lower())
+        parts += chain.from_iterable(("\x00" + w, "\n") for w in odd)
+        at = self.piece.of(parts)
+        self._pieces()
         ids, stop = spread(self.piece_ids, self.piece_first[at], self.piece_size[at])
-        bounds = np.append(0, stop)[edge]
-        self.slot.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.first = np.concatenate([self.first, len(self.ids) + bounds[:-1]])
-        self.size = np.concatenate([self.size, np.diff(bounds)])
+        ends = stop[at == 0]
+        inner = np.diff(np.append(0, ends))
+        size, first = np.zeros((2, len(words)), np.int64)
+        size[order], first[order] = inner, len(self.ids) + ends - inner
+        self.first = np.concatenate([self.first, first])
+        self.size = np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -125,17 +156,18 @@ class WordIds:
                 found[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
             else:
                 simple.append(i)
-        split = [texts[i].split() for i in simple]
-        flat = list(chain.from_iterable(split))
+        split = pc.utf8_split_whitespace(pa.array([texts[i] for i in simple], pa.large_string()))
+        words = split.flatten().dictionary_encode()
         if len(self.slot) > _MOST_WORDS:
             self.forget()
-        known = self.slot
-        new = list(dict.fromkeys(w for w in flat if w not in known))
-        if new:
-            self._grow(new)
-        slots = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
+        slots = self.slot.of(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
+        try:
+            self._grow()
+        except BaseException:
+            self.forget()  # numbers without ids are of no use to a later call
+            raise
         ids, stop = spread(self.ids, self.first[slots], self.size[slots])
-        edge = np.append(0, stop)[np.append(0, np.cumsum([len(s) for s in split])).astype(np.int64)]
+        edge = np.append(0, stop)[split.offsets.to_numpy()]
         for k, i in enumerate(simple):
             found[i] = ids[edge[k] : edge[k + 1]]
         return found
@@ -163,13 +195,14 @@ def ids_crc(ids: np.ndarray) -> int:
 
 
 _PIECES = "doc_id long, text_key long, start long, length long, ids_crc32 long, doc_tokens long"
+_NUMBERED = f"{_PIECES}, row long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """A row for each piece of at most ``window`` ids of every text."""
+    """A row for each piece of at most ``window`` ids of every text; ``row`` counts those of a task, to tell equal ones apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
+        words, done = encoder(tokenizer), 0
         for batch in batches:
             ids, keys, texts = (c.to_pylist() for c in batch.columns)
             for lo, hi in slices((len(t or "") + 1 for t in texts), _PIECE):
@@ -180,9 +213,11 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                         part = whole[start : start + window]
                         rows.append((ids[i], keys[i], start, len(part), ids_crc(part), len(whole)))
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _PIECES.split(", ")])
+                columns.append(pa.array(np.arange(done, done + len(rows))))
+                done += len(rows)
+                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _NUMBERED.split(", ")])
 
-    return _keyed(docs).mapInArrow(run, _PIECES)
+    return _keyed(docs).mapInArrow(run, _NUMBERED)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -322,12 +357,13 @@ class Places:
 
 
 def ranked(table: DataFrame, salts: int) -> DataFrame:
-    """Pieces with their rank among those of the same length."""
-    salted = table.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "start"), F.lit(salts)))
+    """Pieces with their rank among those of the same length. Equal rows differ in ``row``, so they have many salts too."""
+    named = ["doc_id", "text_key", "start", "row"]
+    salted = table.withColumn("salt", F.pmod(F.xxhash64(*named), F.lit(salts)))
     sizes = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    order = Window.partitionBy("length", "salt").orderBy("doc_id", "text_key", "start")
+    order = Window.partitionBy("length", "salt").orderBy(*named)
     numbered = salted.withColumn("own", F.row_number().over(order) - 1)
     return numbered.join(sizes, ["length", "salt"]).withColumn("rank", F.col("own") + F.col("before")).drop("own", "before", "salt")
 
@@ -364,29 +400,30 @@ def pack(
 def _with_crc(docs: DataFrame, placed: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Checksums of the pieces that the plan cut; only their texts are tokenized again."""
     cut = placed.where("ids_crc32 IS NULL")
-    spans = stored(cut.select("doc_id", "text_key", "start", "length").distinct(), "cuts")
+    spans = cut.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+    spans = stored(spans, "cuts")
     if spans.isEmpty():
         return placed
     texts = _keyed(docs)
     same = texts.doc_id.eqNullSafe(spans.doc_id) & (texts.text_key.eqNullSafe(spans.text_key))
-    asked = texts.join(spans, same).select(spans.doc_id, spans.text_key, "start", "length", "text")
+    asked = texts.join(spans, same).select(spans.doc_id, spans.text_key, "spans", "text")
+    asked = asked.dropDuplicates(["doc_id", "text_key"])  # a repeated row is tokenized once, whatever its number of cuts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
         for batch in batches:
-            ids, keys, starts, lengths, texts = (c.to_pylist() for c in batch.columns)
+            ids, keys, spans, texts = (c.to_pylist() for c in batch.columns)
             for lo, hi in slices((len(t or "") + 1 for t in texts), _PIECE):
-                found = words.encode([t or "" for t in texts[lo:hi]])
-                crcs = [
-                    ids_crc(np.append(own, np.uint32(end_id))[s : s + n])
-                    for own, s, n in zip(found, starts[lo:hi], lengths[lo:hi], strict=True)
-                ]
-                columns = [ids[lo:hi], keys[lo:hi], starts[lo:hi], lengths[lo:hi], crcs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["d", "k", "s", "n", "crc"]
-                )
-
-    sums = asked.mapInArrow(run, "d long, k long, s long, n long, crc long").distinct()
+                rows = []
+                for i, own in zip(range(lo, hi), words.encode([t or "" for t in texts[lo:hi]]), strict=True):
+                    whole = np.append(own, np.uint32(end_id))
+                    for span in spans[i]:
+                        part = whole[span["start"] : span["start"] + span["length"]]
+                        rows.append((ids[i], keys[i], span["start"], span["length"], ids_crc(part)))
+                columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["d", "k", "s", "n", "crc"])
+
+    sums = asked.mapInArrow(run, "d long, k long, s long, n long, crc long")
     match = (
         F.col("doc_id").eqNullSafe(F.col("d"))
         & F.col("text_key").eqNullSafe(F.col("k"))

@@ -217,6 +217,21 @@ def test_language_model_of_nothing(spark):
 # --- packing
 
 
+def test_word_ids_are_those_of_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, words_, draw = Tokenizer.from_file(path), packing.WordIds(path), random.Random(8)
+    marks = ["it's", "WE'LL", "'s", "a.b", "x1y22", "Ünï", "ß", "ſ", "µ", "²", "½", "İ", "日本", "\u2028", "\xa0", "\x85", "\x1c", "\t", " ", "\n", "--", "\x7f", "e\u0301"]
+    texts = ["".join(draw.choices([*marks, *"abcXYZ 09.,"], k=draw.randint(0, 30))) for _ in range(3000)]
+    for at in range(0, 3000, 500):  # words of earlier calls are known to later ones
+        part = texts[at : at + 500]
+        assert [i.tolist() for i in words_.encode(part)] == [whole.encode(t, add_special_tokens=False).ids for t in part]
+        if at == 1000:
+            words_.forget()
+
+
 def test_packing_places_every_id_once(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -224,6 +239,7 @@ def test_packing_places_every_id_once(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
     data = [*rows(), (90, "It's we'll <|endoftext|> Ünï ﬁ İstanbul 日本\x1cx ½ a...b", "en", "s", 1, None, None)]
+    data += [(91, sentence(random.Random(9), "fr", 45), "fr", "s", 1, None, None)] * 150  # equal rows, cut in many ways
     got = _collected(packing.pack(documents(spark, data), path, window=64))
     want = Counter()
     for r in data:
