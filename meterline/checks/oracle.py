@@ -428,6 +428,12 @@ def oracle_queries() -> dict[str, str]:
         "reject_counts": _typed(reject_counts),
         "job_statistics": _typed(statistics),
         "column_profile": _typed(_column_profile()),
+        "sketched_profile": _trips(
+            f"SELECT column_name, row_count, null_count, min_value, max_value FROM ({_column_profile()})".replace(
+                "FROM typed",
+                "FROM (SELECT * FROM trips WHERE make_date(year, month, day) BETWEEN DATE '2024-01-10' AND DATE '2024-03-05')",
+            )
+        ),
         "partition_age_tiers": _with(_TYPED, _TRIPS, _AGED, select=_age_tiers()),
         "expired_partitions": _with(
             _TYPED,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.operators import lifecycle, profile, quality, trips
+from meterline.operators import lifecycle, profile, quality, sketches, trips
 from meterline.plans import curated, incremental, refresh, reports
 from meterline.plans.lineitem_trips import raw_trips
 from meterline.session import new_shared_path
@@ -57,6 +57,14 @@ def _quality_rejects(raw: DataFrame) -> DataFrame:
     return rejects.select(*shown.values(), F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
+def _sketched_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact part of a profile of eight weeks, from the stored sketches of all trips."""
+    path = new_shared_path(spark, "column-sketches")
+    sketches.store(trips.processed_trips(raw_trips(spark, folder)), trips.TYPED_COLUMNS, path, "all")
+    found = sketches.stored_profile(spark, path, trips.TYPED_COLUMNS, "2024-01-10", "2024-03-05")
+    return found.select("column_name", "row_count", "null_count", "min_value", "max_value")
+
+
 def _raw_as_csv(spark: SparkSession, folder: str) -> str:
     """The raw trips as CSV files in the shared folder, as they would arrive."""
     path = new_shared_path(spark, "raw-trips")
@@ -292,6 +300,7 @@ def _queries() -> dict[str, Query]:
         "column_profile": _over_typed(
             lambda typed: profile.column_profile(typed, trips.TYPED_COLUMNS)
         ),
+        "sketched_profile": _sketched_profile,
         "partition_age_tiers": _over_trips(
             lambda frame: lifecycle.age_tiers(lifecycle.partitions_of(frame), AS_OF)
         ),
