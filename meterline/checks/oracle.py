@@ -428,6 +428,13 @@ def oracle_queries() -> dict[str, str]:
         "reject_counts": _typed(reject_counts),
         "job_statistics": _typed(statistics),
         "column_profile": _typed(_column_profile()),
+        "after_retention": _with(
+            _TYPED,
+            _TRIPS,
+            _AGED,
+            select="""SELECT trips.year, trips.month, COUNT(*) AS trips, COUNT(DISTINCT trips.day) AS days
+            FROM trips JOIN aged USING (year, month, day) WHERE age_days <= 730 GROUP BY trips.year, trips.month""",
+        ),
         "sketched_profile": _trips(
             f"SELECT column_name, row_count, null_count, min_value, max_value FROM ({_column_profile()})".replace(
                 "FROM typed",

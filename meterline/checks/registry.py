@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators import lifecycle, profile, quality, sketches, trips
-from meterline.plans import curated, incremental, refresh, reports
+from meterline.plans import curated, incremental, refresh, reports, retention
 from meterline.plans.lineitem_trips import raw_trips
 from meterline.session import new_shared_path
 from meterline.sources import journal, layers, lease, raw_files
@@ -65,6 +65,18 @@ def _sketched_profile(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("column_name", "row_count", "null_count", "min_value", "max_value")
 
 
+def _after_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips and days of each month that are left when expired days have been planned and removed."""
+    root = new_shared_path(spark, "retention")
+    lake = layers.Lake(root, raw=f"{root}/raw")
+    layers.append_processed(trips.processed_trips(raw_trips(spark, folder)), lake.processed)
+    path = new_shared_path(spark, "retention-plan")
+    retention.plan(spark, lake, AS_OF).write.parquet(path)
+    retention.apply(spark, lake, spark.read.parquet(path), AS_OF)
+    left = layers.read_processed(spark, lake.processed)
+    return left.groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips"), F.count_distinct("day").alias("days"))
+
+
 def _raw_as_csv(spark: SparkSession, folder: str) -> str:
     """The raw trips as CSV files in the shared folder, as they would arrive."""
     path = new_shared_path(spark, "raw-trips")
@@ -300,6 +312,7 @@ def _queries() -> dict[str, Query]:
         "column_profile": _over_typed(
             lambda typed: profile.column_profile(typed, trips.TYPED_COLUMNS)
         ),
+        "after_retention": _after_retention,
         "sketched_profile": _sketched_profile,
         "partition_age_tiers": _over_trips(
             lambda frame: lifecycle.age_tiers(lifecycle.partitions_of(frame), AS_OF)
