@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -34,7 +35,7 @@ from meterline.session import new_shared_path
 DATE = "2024-01-01T00:00:00Z"  # archives of the same pages are equal byte for byte
 GAP = 64 << 10
 CHUNK = 8 << 20
-STRETCH = 64 << 20
+SHARE = 64 << 20  # bytes of archives that a reading task has on average
 INDEX = (
     "page_id long, url string, file string, offset long, length long, digest string, payload_bytes long, record_type string"
 )
@@ -178,8 +179,12 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     data = source.read_at(group[-1][1] + group[-1][2] - start, start)
                 yield _batch([parsed(gzip.decompress(data[o - start : o - start + n])) for _, o, n in group])
 
-    chosen = index.select("file", "offset", "length", (F.col("offset") / STRETCH).cast("long").alias("stretch"))
-    dealt = chosen.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    chosen = index.select("file", "offset", "length", (F.col("offset") / CHUNK).cast("long").alias("stretch"))
+    # A number of tasks by the bytes to read: from the size of the index alone, adaptive execution would plan one.
+    spark = index.sparkSession
+    asked = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(asked / SHARE))
+    dealt = chosen.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInArrow(
         run,
         "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long",
