@@ -2,11 +2,12 @@
 
 Categories are predicted in a fixed order. Each is a logistic model on the presence of byte n-grams (of the text
 with A-Z lower-cased and white space as spaces) and on the probabilities of the categories before it. Later models
-are trained on out-of-fold probabilities: those of a model that did not see the row. The n-grams of a category are
-the ``features`` ones whose presence differs most (chi square) between rows with and without it.
+are trained on out-of-fold probabilities: those of a model that did not see the row, nor any row of the same text, as
+folds are dealt by a hash of the text. The n-grams of a category are the ``features`` ones whose presence differs most
+(chi square) between rows with and without it; they are chosen once, from the rows of all folds.
 
-The chain is fitted on at most ``fit_rows`` labelled rows, those with the smallest hash of the id. Every row is
-scored, over its whole text.
+The chain is fitted on the rows of at most ``fit_rows`` labelled ids, those with the smallest hash of the id, and on
+at most twice as many rows where ids repeat. Every row is scored, over its whole text.
 
 Defined results: null and empty texts have no n-grams and get the chain's base rates; null labels are taken as
 0, rows without any label of the chain are not used, several labels of one id are averaged and rounded up at one
@@ -136,7 +137,8 @@ def fit(
     )
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.array(*names).alias("y"))
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.array(*names).alias("y"), fold)
 
     k = len(names)
 
@@ -178,17 +180,17 @@ def fit(
             found = chain.presence(batch.column(1).to_pylist())
             slots = [np.flatnonzero(r).astype(np.int32) for r in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(slots, pa.list_(pa.int32()))], names=["doc_id", "y", "slots"]
+                [batch.column(0), batch.column(2), pa.array(slots, pa.list_(pa.int32())), batch.column(3)],
+                names=["doc_id", "y", "slots", "fold"],
             )
 
-    design = sample.mapInArrow(present, "doc_id long, y array<int>, slots array<int>")
+    design = sample.mapInArrow(present, "doc_id long, y array<int>, slots array<int>, fold int")
     table = design.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(2 * fit_rows).toArrow()
     y = np.array(table.column("y").to_pylist(), float).reshape(table.num_rows, k)
     x = np.zeros((table.num_rows, len(keys)))
     for i, slots in enumerate(table.column("slots").to_pylist()):
         x[i, slots] = 1
-    fold = np.arange(len(x)) % FOLDS
-    chain.weights = fit_chain(x, y, fold)
+    chain.weights = fit_chain(x, y, table.column("fold").to_numpy())
     return chain
 
 
