@@ -102,8 +102,12 @@ def apply_chain(x: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
     return np.round(found, 9)
 
 
+def _constant(y: np.ndarray) -> bool:
+    return not len(y) or y.min() == y.max()
+
+
 def _model(x: np.ndarray, y: np.ndarray, ridge: float, start: np.ndarray | None = None) -> np.ndarray:
-    if not len(y) or y.min() == y.max():
+    if _constant(y):
         share = float(logit(np.array((y.sum() + 0.5) / (len(y) + 1))))
         return np.append(np.zeros(x.shape[1]), share)
     return fit_logistic(x, y, ridge, start=start)
@@ -118,8 +122,10 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, ridge: float
         unseen, w = np.zeros(len(x)), None
         for f in range(FOLDS):
             out = fold == f
-            w = _model(design[~out], y[~out], ridge, w)
-            unseen[out] = sigmoid(design[out] @ w[:-1] + w[-1])
+            model = _model(design[~out], y[~out], ridge, w)
+            unseen[out] = sigmoid(design[out] @ model[:-1] + model[-1])
+            # A constant is no start for the next fold: steps from where all rows look alike go far astray.
+            w = w if _constant(y[~out]) else model
         weights.append(_model(design, y, ridge, w))
         earlier = np.concatenate([earlier, unseen[:, None]], axis=1)
     return weights

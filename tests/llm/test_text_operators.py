@@ -424,6 +424,18 @@ def test_toxicity(spark):
     assert toxicity.score(nothing(spark), chain).count() == 0
 
 
+def test_copies_of_a_text_share_a_fold(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit_chain", lambda x, y, fold: seen.update(x=x, fold=fold) or [])
+    data = [(i % 90, f"copy number {i % 7} of a text", *[None] * 5) for i in range(180)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, junk int")
+    toxicity.fit(documents(spark, data), labels, {"junk": F.col("junk")})
+    folds = {}
+    for row, fold in zip(seen["x"], seen["fold"], strict=True):
+        folds.setdefault(row.tobytes(), set()).add(fold)
+    assert len(seen["x"]) == 180 and len(folds) == 7 and all(len(f) == 1 for f in folds.values())
+
+
 def test_chain_learns_from_unseen_predictions():
     draw = np.random.default_rng(1)
     x = draw.integers(0, 2, (400, 3)).astype(float)
