@@ -270,6 +270,28 @@ def oracle_queries() -> dict[str, str]:
         "processed_trips": processed,
         "processed_scan": processed,
         "incremental_ingest": processed,
+        "nested_scan": raw,
+        "projected_days": _trips(
+            f"""SELECT {_PROCESSED} FROM trips
+            WHERE make_date(year, month, day) BETWEEN DATE '2024-01-10' AND DATE '2024-03-05'"""
+        ),
+        "schema_versions": _trips(
+            """SELECT pickup_datetime, total_amount, CAST(passenger_count AS DOUBLE) AS passenger_count,
+            CASE WHEN payment_type >= 3 THEN CAST(payment_type AS BIGINT) END AS payment_type FROM trips"""
+        ),
+        "codec_sizes": _trips(
+            """SELECT codec, COUNT(*) AS rows, codec <> 'uncompressed' AS smaller
+            FROM trips, (VALUES ('uncompressed'), ('snappy'), ('gzip'), ('zstd'), ('lz4_raw')) AS c(codec) GROUP BY codec"""
+        ),
+        "catalog_tables": _trips(
+            """SELECT year, month, COUNT(*) AS trips, COUNT(DISTINCT day) AS days,
+            (SELECT COUNT(*) FROM raw) AS raw_rows FROM trips GROUP BY year, month"""
+        ),
+        "compacted_lake": _trips(
+            f"""SELECT state, batches, {_TRIPS_AND_DAYS}, COUNT(*) AS daily_trips
+            FROM trips, (VALUES ('two batches', 2), ('merged', 1), ('rewound', 2)) AS s(state, batches)
+            GROUP BY state, batches"""
+        ),
         "lease_log": """
             SELECT 1 AS number, 'first' AS holder, TRUE AS released, 0 AS rows_read
             UNION ALL SELECT 2, 'stuck', FALSE, 0

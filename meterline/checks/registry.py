@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators import lifecycle, profile, quality, sketches, trips
-from meterline.plans import curated, incremental, refresh, reports, retention
+from meterline.plans import codecs, curated, incremental, refresh, reports, retention
 from meterline.plans.lineitem_trips import raw_trips
 from meterline.session import new_shared_path
-from meterline.sources import journal, layers, lease, raw_files
-from meterline.sources.schemas import RAW_USED
-from meterline.streaming import ingest, ledger
+from meterline.sources import catalog, journal, layers, lease, projection, raw_files, schema_log
+from meterline.sources.schemas import RAW_TABLE, RAW_USED
+from meterline.streaming import ingest, ledger, merging
 
 AS_OF = "2025-07-01"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,70 @@ def _processed_scan(spark: SparkSession, folder: str) -> DataFrame:
     return layers.read_processed(spark, path)
 
 
+def _projected_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips of eight weeks, whose folders are looked up by name."""
+    root = new_shared_path(spark, "projected")
+    lake = layers.Lake(root, raw=f"{root}/raw")
+    layers.append_processed(trips.processed_trips(raw_trips(spark, folder)), lake.processed)
+    return projection.read_days(spark, lake, "2024-01-10", "2024-03-05")
+
+
+def _schema_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All trips under the newest version, from three batches with other types and columns."""
+    root = new_shared_path(spark, "schema-versions")
+    stored = trips.processed_trips(raw_trips(spark, folder))
+    passengers, payment = F.col("passenger_count"), F.col("payment_type")
+    common = ["pickup_datetime", "total_amount"]
+    first = stored.where(payment < 3).select(*common, passengers.cast("int"))
+    second = stored.where(payment == 3).select(passengers.cast("bigint"), *common, payment)
+    third = stored.where(payment > 3).select(*common, passengers.cast("double"), payment.cast("bigint"))
+    for number, frame in enumerate((first, second, third)):
+        schema_log.append(spark, root, frame, f"batch-{number}")
+    return schema_log.read(spark, root).drop(layers.INGEST_BATCH)
+
+
+def _codec_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each copy, and whether it is smaller than one without compression."""
+    stored = trips.processed_trips(raw_trips(spark, folder))
+    sizes = codecs.codec_sizes(spark, stored, new_shared_path(spark, "codecs"))
+    return sizes.select("codec", "rows", (F.col("share_of_plain") < 1).alias("smaller"))
+
+
+def _nested_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw CSV files in folders of any depth, beside files of a kind that is not read."""
+    root, raw = new_shared_path(spark, "nested"), raw_trips(spark, folder)
+    early = F.coalesce(F.col("payment_type").cast("int") < 3, F.lit(False))
+    raw.where(early).write.option("header", True).csv(f"{root}/2024/a")
+    raw.where(~early).write.option("header", True).csv(f"{root}/b/c/d")
+    raw.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/b/notes")
+    return raw_files.read_raw(spark, root).select("VendorID", *RAW_USED)
+
+
+def _catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips of each month by SQL over two tables of the catalog: raw CSV files, and a curated table with its partitions
+    repaired. The database is made for this and dropped."""
+    raw, database = raw_trips(spark, folder), f"check_{uuid.uuid4().hex}"
+    csv, daily = new_shared_path(spark, "raw-table"), new_shared_path(spark, "daily-table")
+    fields = T.StructType.fromDDL(RAW_TABLE)
+    columns = [F.col(f.name) if f.name in raw.columns else F.lit(None).cast("string").alias(f.name) for f in fields]
+    raw.select(*columns).write.option("header", True).csv(csv)
+    layers.write_curated(curated.from_trips(curated.DAILY, trips.processed_trips(raw)), daily)
+    table = curated.DAILY.catalog_name
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        spark.sql(catalog.raw_table_ddl(database, csv))
+        spark.sql(catalog.parquet_table_ddl(database, table, daily))
+        spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+        found = spark.sql(
+            f"""SELECT year, month, SUM(total_trips) AS trips, COUNT(*) AS days,
+            (SELECT COUNT(*) FROM {database}.{catalog.RAW_NAME}) AS raw_rows
+            FROM {database}.{table} GROUP BY year, month"""
+        )
+        return found.checkpoint()
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     lake = layers.Lake(new_shared_path(spark, "lake"), raw=_raw_as_csv(spark, folder))
     ingest.ingest_new_files(spark, lake)
@@ -202,6 +267,28 @@ def _bookmark_rewind(spark: SparkSession, folder: str) -> DataFrame:
     return both.unionByName(back).unionByName(days("updated"))
 
 
+def _compacted_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips, days and batches of a lake before its batches are merged in place, after it, and after going back."""
+    lake = layers.Lake(new_shared_path(spark, "lake"), raw=new_shared_path(spark, "raw"))
+    raw, payment = raw_trips(spark, folder), F.col("payment_type").cast("int")
+    for name, some in {"first": payment < 3, "second": payment >= 3}.items():
+        raw.where(some).write.option("header", True).csv(f"{lake.raw}/{name}")
+        incremental.update(spark, lake)
+
+    def found(state: str) -> DataFrame:
+        day = F.make_date("year", "month", "day")
+        visible = ledger.read_visible(spark, lake).agg(F.count("*").alias("trips"), F.count_distinct(day).alias("days"))
+        daily = layers.read_curated(spark, lake, "daily_trip_statistics").agg(F.sum("total_trips").alias("daily_trips"))
+        batches = len(ledger.state(spark, lake).batches)
+        return visible.join(daily).withColumns({"state": F.lit(state), "batches": F.lit(batches)})
+
+    before = found("two batches")
+    merging.compact(spark, lake)
+    merged = found("merged")
+    incremental.rewind(spark, lake, 2)
+    return before.unionByName(merged).unionByName(found("rewound"))
+
+
 def _metrics(frame: DataFrame) -> DataFrame:
     return frame.select(
         "pickup_datetime",
@@ -254,6 +341,12 @@ def _queries() -> dict[str, Query]:
         "derived_metrics": _over_trips(_metrics),
         "processed_trips": _over_trips(lambda frame: frame),
         "processed_scan": _processed_scan,
+        "projected_days": _projected_days,
+        "schema_versions": _schema_versions,
+        "codec_sizes": _codec_sizes,
+        "nested_scan": _nested_scan,
+        "catalog_tables": _catalog_tables,
+        "compacted_lake": _compacted_lake,
         "incremental_ingest": _incremental_ingest,
         "lease_log": _lease_log,
         "file_ledger": _file_ledger,

@@ -12,7 +12,7 @@ from meterline.plans import incremental, publish, refresh
 from meterline.session import build_session
 from meterline.sources import layers, lease
 from meterline.sources.layers import Lake
-from meterline.streaming import ingest, ledger
+from meterline.streaming import ingest, ledger, merging
 
 
 def _ingest(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
@@ -48,6 +48,11 @@ def _rewind(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
     return "another writer is active" if retired is None else f"batches retired: {len(retired)}"
 
 
+def _merge(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
+    batches = merging.compact(spark, lake)
+    return "another writer is active" if batches is None else f"batches merged into: {len(batches)}"
+
+
 def _clean(spark: SparkSession, lake: Lake, chosen: argparse.Namespace) -> str:
     with lease.held(spark, lake) as held:
         if held is None:
@@ -65,6 +70,7 @@ JOBS: dict[str, Callable[[SparkSession, Lake, argparse.Namespace], str]] = {
     "profile": _profile,
     "update": _update,
     "rewind": _rewind,
+    "merge": _merge,
     "clean": _clean,
 }
 

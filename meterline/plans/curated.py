@@ -172,3 +172,8 @@ def cells(trips: DataFrame) -> DataFrame:
 
 def from_cells(table: CuratedTable, cell_rows: DataFrame) -> DataFrame:
     return _finished(table, _summed_again(cell_rows, list(table.keys), table.measures))
+
+
+def merged_cells(cell_rows: DataFrame) -> DataFrame:
+    """Cells of several batches as those of one."""
+    return _summed_again(cell_rows, _CELL_KEYS, list(_MEASURES))

@@ -55,6 +55,24 @@ def publish(
     return number
 
 
+def renamed(spark: SparkSession, lake: Lake, merged: dict[str, list[str]], lease: Lease | None = None) -> int | None:
+    """Note that batches were merged into others of the same rows, so that no month is published again for it.
+
+    Left as it is where a merged batch was covered in part only: the next publication then finds what differs."""
+    before = journal.latest(spark, lake.published)
+    covered = set(before["batches"]) if before else set()
+    if any(set(old) & covered and not set(old) <= covered for old in merged.values()):
+        return None
+    known = {new: old for new, old in merged.items() if set(old) <= covered}
+    if not known:
+        return None
+    if lease is not None:
+        lease.check(spark)
+    covered -= {name for old in known.values() for name in old}
+    record = {"months": before["months"], "batches": sorted(covered | set(known))}
+    return journal.append(spark, lake.published, record, before["number"])
+
+
 def old_versions(spark: SparkSession, lake: Lake, keep: int = 2) -> list[str]:
     """Versions that none of the newest ``keep`` publications needs: replaced ones, and those of failed runs.
 

@@ -128,7 +128,7 @@ def ingest_changes(
             added.append(batch)
         if lease is not None:
             lease.renew(spark)
-    _add_run(spark, lake, before, added, retired, "ingest", lease)
+    add_run(spark, lake, before, added, retired, "ingest", lease)
     return added
 
 
@@ -150,7 +150,7 @@ def _ingest_batch(spark: SparkSession, lake: Lake, paths: list[str], batch: str)
     ingest._write_audit(spark, lake, batch, len(paths), found)
 
 
-def _add_run(
+def add_run(
     spark: SparkSession,
     lake: Lake,
     before: State,
@@ -160,6 +160,7 @@ def _add_run(
     lease: Lease | None,
     **more: list[str],
 ) -> int:
+    """Make a new set of batches the visible one, as the record of the next run."""
     if lease is not None:
         lease.check(spark)
     gone = set(retired)
@@ -187,7 +188,7 @@ def rewind(spark: SparkSession, lake: Lake, run: int, lease: Lease | None = None
     if missing & _removed(spark, lake):
         raise ValueError(f"run {run} needs batches that were removed")
     retired = sorted(set(before.batches) - set(wanted))
-    _add_run(
+    add_run(
         spark, lake, State(before.run, tuple(b for b in before.batches if b in wanted)),
         sorted(missing), retired, f"rewind to {run}", lease,
     )
@@ -218,7 +219,7 @@ def remove_invisible(spark: SparkSession, lake: Lake, keep: int = 2, lease: Leas
                 journal.delete(spark, path)
                 removed.add(batch)
     if removed:
-        _add_run(spark, lake, before, [], [], "removal", lease, removed=sorted(removed))
+        add_run(spark, lake, before, [], [], "removal", lease, removed=sorted(removed))
     return sorted(removed)
 
 

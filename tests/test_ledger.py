@@ -133,11 +133,11 @@ def test_files_are_dealt_to_batches(spark, lake):
 
 def test_a_crashed_run_shows_nothing(spark, lake, monkeypatch):
     write(f"{lake.raw}/a.csv", HEADER, LINE)
-    real = ledger._add_run
-    monkeypatch.setattr(ledger, "_add_run", lambda *_, **__: (_ for _ in ()).throw(OSError("lost before the record")))
+    real = ledger.add_run
+    monkeypatch.setattr(ledger, "add_run", lambda *_, **__: (_ for _ in ()).throw(OSError("lost before the record")))
     with pytest.raises(OSError):
         incremental.update(spark, lake)
-    monkeypatch.setattr(ledger, "_add_run", real)
+    monkeypatch.setattr(ledger, "add_run", real)
     assert ledger.read_visible(spark, lake).count() == 0
     assert statuses(spark, lake) == {"a.csv": "new"}
     (batch,) = incremental.update(spark, lake)
