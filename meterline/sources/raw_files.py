@@ -1,7 +1,7 @@
 """Raw trip files: CSV, JSON or Parquet in any folder depth, read as text columns.
 
 CSV columns are found by header name. Spark itself matches a given CSV schema by position, so the
-header lines are found first by a scan that parses nothing, files with the same header are
+header lines are found first, files with the same header are
 read together with a schema in that order, and every reader checks its header while it scans.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -20,12 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators.trips import with_used_columns
+from meterline.sources import journal
 from meterline.sources.schemas import RAW_TABLE
 
 FORMATS = ("csv", "json", "parquet")
 SOURCE_FILE = "source_file"
 _FILE_NOTICE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 _BAD_JSON = "_corrupt_record"
+HEADS = 10_000  # files whose first lines the driver reads
+_OPEN = 32  # of them at a time
+_HEAD_BYTES = 4096  # read at once
 
 
 def suffix_glob(*formats: str) -> str:
@@ -90,10 +95,37 @@ def _with_source(frame: DataFrame) -> DataFrame:
     return frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line as Spark's text reader gives it, or None of an empty file."""
+    fs, place = journal.file_system(spark, path)
+    stream = fs.open(place)
+    try:
+        line = spark._jvm.org.apache.hadoop.io.Text()
+        read = spark._jvm.org.apache.hadoop.util.LineReader(stream, _HEAD_BYTES).readLine(line)
+        return line.toString().removeprefix("\ufeff") if read else None
+    finally:
+        stream.close()
+
+
 def _layouts(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str] | None]:
     """The files of each header line; of a single layout no files are listed, as all are meant.
 
-    The names of files are kept only where there are several layouts, for the readers take them as lists."""
+    Up to ``HEADS`` files are opened for their first line, many at a time, and nothing else of them is read. More are
+    scanned in tasks, which reads them whole."""
+    notices = file_notices(spark, paths).where("format = 'csv'").select("path")
+    names = [row.path for row in notices.limit(HEADS + 1).collect()]
+    if len(names) > HEADS:
+        return _scanned_layouts(spark, paths)
+    files: dict[str, list[str] | None] = {}
+    with ThreadPoolExecutor(_OPEN) as pool:
+        for name, header in zip(names, pool.map(lambda name: _first_line(spark, name), names), strict=True):
+            if header is not None:
+                files.setdefault(header, []).append(literal_path(name))
+    return files if len(files) > 1 else dict.fromkeys(files)
+
+
+def _scanned_layouts(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str] | None]:
+    """The names of files are kept only where there are several layouts, for the readers take them as lists."""
     headers = csv_headers(spark, paths).persist()  # a line a file, read once for both questions
     try:
         found = [row.header for row in headers.select("header").distinct().limit(2).collect()]

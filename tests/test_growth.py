@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 
 from meterline.checks import registry
-from meterline.sources import layers
+from meterline.operators import trips
+from meterline.plans import lineitem_trips
+from meterline.sources import layers, raw_files
+from tests.trip_rows import HEADER, LINE
 
 
 def test_each_stored_report_refreshes_a_lake_of_its_own(spark, monkeypatch):
@@ -18,3 +22,30 @@ def test_each_stored_report_refreshes_a_lake_of_its_own(spark, monkeypatch):
         assert build(spark, name[:6]).count() == 1
     assert len({lake.root for lake in made}) == 2
     assert made == shown
+
+
+def test_rounding_without_decimals_is_that_of_round(spark):
+    values = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 1e15 + 0.5, 4503599627370495.5]
+    values += [9007199254740992.0, 0.07 * 100, 0.285 * 100, -1.4999999999999998, 0.0, -0.0, None]
+    frame = spark.createDataFrame([(value,) for value in values], "v DOUBLE")
+    found = frame.selectExpr(f"{lineitem_trips._rounded('v')} AS ours", "CAST(ROUND(v) AS BIGINT) AS theirs").collect()
+    assert [row.ours for row in found] == [row.theirs for row in found]
+    assert "round(" not in lineitem_trips._IN_SPARK["p"].lower()
+
+
+def test_headers_of_a_few_files_are_found_without_a_scan(spark, tmp_path, monkeypatch):
+    def scan(*_):
+        raise AssertionError("files are scanned for their headers")
+
+    (tmp_path / "a b%20[1].csv").write_bytes(b"\xef\xbb\xbf" + f"{HEADER}\r\n{LINE}\r\n".encode())
+    (tmp_path / "plain.csv").write_text(f"{HEADER}\n{LINE}\n")
+    turned = [",".join(reversed(text.split(","))) for text in (HEADER, LINE)]
+    (tmp_path / "turned.csv").write_text("\n".join(turned))
+    (tmp_path / "empty.csv").write_text("")
+    slow = raw_files._scanned_layouts(spark, str(tmp_path))
+    monkeypatch.setattr(raw_files, "csv_headers", scan)
+    fast = raw_files._layouts(spark, str(tmp_path))
+    names = lambda found: {key: sorted(Path(name).name for name in files) for key, files in found.items()}
+    assert set(fast) == {HEADER, turned[0]}
+    assert {key.strip(): files for key, files in names(slow).items()} == names(fast)
+    assert trips.processed_trips(raw_files.read_raw(spark, str(tmp_path))).count() == 3
