@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -134,6 +134,14 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, "processed_taxi_trips", path).select(*PROCESSED_COLUMNS)
 
 
+def read_batch(spark: SparkSession, path: str, batch: str, months: Iterable[int]) -> DataFrame:
+    """Trips of one batch; of the layer its months (yyyymm) alone are listed."""
+    folders = [f"{path}/year={m // 100}/month={m % 100}" for m in months]
+    schema = f"{read_schema('processed_taxi_trips')}, {INGEST_BATCH} STRING"
+    trips = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return trips.where(F.col(INGEST_BATCH) == batch).select(*PROCESSED_COLUMNS)
+
+
 def month_name(year: int, month: int) -> str:
     return f"{year:04d}-{month:02d}"
 

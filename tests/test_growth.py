@@ -8,7 +8,8 @@ from meterline.checks import registry
 from meterline.operators import trips
 from meterline.plans import lineitem_trips
 from meterline.sources import layers, raw_files
-from tests.trip_rows import HEADER, LINE
+from meterline.streaming import ledger
+from tests.trip_rows import HEADER, LINE, processed
 
 
 def test_each_stored_report_refreshes_a_lake_of_its_own(spark, monkeypatch):
@@ -49,3 +50,26 @@ def test_headers_of_a_few_files_are_found_without_a_scan(spark, tmp_path, monkey
     assert set(fast) == {HEADER, turned[0]}
     assert {key.strip(): files for key, files in names(slow).items()} == names(fast)
     assert trips.processed_trips(raw_files.read_raw(spark, str(tmp_path))).count() == 3
+
+
+def test_a_batch_is_read_from_its_months_alone(spark, tmp_path):
+    later = {"tpep_pickup_datetime": "2024-02-16 10:00:00", "tpep_dropoff_datetime": "2024-02-16 10:05:00"}
+    frame, more = processed(spark, {}), processed(spark, later)
+    for batch in ("run-1", "run-2"):
+        layers.write_ingest_batch(frame, str(tmp_path), batch, layers.DAY_KEYS, replace=False)
+    layers.write_ingest_batch(more, str(tmp_path), "run-3", layers.DAY_KEYS, replace=False)
+    found = layers.read_batch(spark, str(tmp_path), "run-2", [202401])
+    assert sorted(map(str, found.collect())) == sorted(map(str, frame.collect()))
+    assert all("/month=1/" in path for path in found.inputFiles())
+
+
+def test_cells_of_a_batch_come_from_its_stored_trips(spark, tmp_path, monkeypatch):
+    made = []
+    cells = ledger.curated.cells
+    monkeypatch.setattr(ledger.curated, "cells", lambda frame: made.append(frame.inputFiles()) or cells(frame))
+    lake = layers.Lake(str(tmp_path / "lake"), raw=str(tmp_path / "raw"))
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "one.csv").write_text(f"{HEADER}\n{LINE}\n")
+    ledger.ingest_changes(spark, lake)
+    assert made and all(lake.processed in path for path in made[0])
+    assert layers.read_batches(spark, lake.cells).agg({"trips": "sum"}).first()[0] == 1
