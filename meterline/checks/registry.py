@@ -141,7 +141,8 @@ def _nested_scan(spark: SparkSession, folder: str) -> DataFrame:
     early = F.coalesce(F.col("payment_type").cast("int") < 3, F.lit(False))
     raw.where(early).write.option("header", True).csv(f"{root}/2024/a")
     raw.where(~early).write.option("header", True).csv(f"{root}/b/c/d")
-    raw.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/b/notes")
+    notes = raw.select(F.to_json(F.struct("*")).alias("value"))  # four times the bytes of the CSV files if not compressed
+    notes.write.option("compression", "lz4").text(f"{root}/b/notes")
     return raw_files.read_raw(spark, root).select("VendorID", *RAW_USED)
 
 

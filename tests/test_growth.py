@@ -73,3 +73,20 @@ def test_cells_of_a_batch_come_from_its_stored_trips(spark, tmp_path, monkeypatc
     ledger.ingest_changes(spark, lake)
     assert made and all(lake.processed in path for path in made[0])
     assert layers.read_batches(spark, lake.cells).agg({"trips": "sum"}).first()[0] == 1
+
+
+def test_notes_beside_nested_files_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "new_shared_path", lambda spark, label: str(tmp_path / label))
+    schema = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    schema += "l_extendedprice DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    rows = spark.range(3000).selectExpr(
+        "id", "id % 700", "id % 10", "CAST(id % 7 AS INT)", "CAST(id % 50 AS DOUBLE)", "id * 1.01D", "0.05D",
+        "TIMESTAMP_NTZ '1996-01-01' + make_dt_interval(CAST(id % 900 AS INT))",
+    )
+    rows.toDF(*[field.split()[0] for field in schema.split(", ")]).write.parquet(str(tmp_path / "in/lineitem.parquet"))
+    assert registry._nested_scan(spark, str(tmp_path / "in")).count() == 3000
+    notes = tmp_path / "nested/b/notes"
+    stored = sum(path.stat().st_size for path in notes.glob("part-*"))
+    lines = spark.read.text(str(notes))
+    assert lines.count() == 3000
+    assert stored < lines.selectExpr("sum(length(value) + 1)").first()[0] / 2
