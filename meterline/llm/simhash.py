@@ -194,17 +194,15 @@ def _dealt(rows: DataFrame, masks: Column, key: str = "mask") -> DataFrame:
 
 def _longer(distance: int) -> Column:
     """The mask extended by each of ``distance + 1`` parts of the free bits, as an array; built-in functions only."""
-    free = F.filter(
-        F.sequence(F.lit(0), F.lit(BITS - 1)),
-        lambda b: F.expr("mask").bitwiseAND(F.shiftleft(F.lit(1).cast("long"), b)) == 0,
-    )
+    single = F.array(*[F.lit(_signed(1 << b)).cast("long") for b in range(BITS)])
+    free = F.filter(single, lambda bit: F.col("mask").bitwiseAND(bit) == 0)
     parts = distance + 1
     return F.transform(
         F.sequence(F.lit(0), F.lit(parts - 1)),
         lambda k: F.aggregate(
-            F.filter(free, lambda b, i: i % parts == k),
+            F.filter(free, lambda bit, i: i % parts == k),
             F.col("mask"),
-            lambda m, b: m.bitwiseOR(F.shiftleft(F.lit(1).cast("long"), b)),
+            lambda mask, bit: mask.bitwiseOR(bit),
         ),
     )
 
@@ -281,14 +279,13 @@ def links(nodes: DataFrame, distance: int = 3, bucket_rows: int = 2048) -> DataF
     while True:
         probes = stored(probes, "simhash-probes")
         sizes = probes.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n"))
-        large = stored(sizes.where(F.col("n") > bucket_rows).select("mask", "bits"), "simhash-large")
+        over = sizes.where(F.col("n") > bucket_rows)
+        large = stored(over.select("mask", "bits", _longer(distance).alias("longer")), "simhash-large")
         if large.isEmpty():
             found.append(_verified(probes, distance))
             break
         found.append(_verified(probes.join(large, ["mask", "bits"], "left_anti"), distance))
-        again = probes.join(large, ["mask", "bits"], "left_semi").select("fp", "mask")
-        probes = again.select("fp", F.explode(_longer(distance)).alias("mask"))
-        probes = probes.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"))
+        probes = _dealt(probes.join(large, ["mask", "bits"]), F.col("longer"))
     united = found[0]
     for more in found[1:]:
         united = united.union(more)

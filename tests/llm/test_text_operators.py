@@ -137,6 +137,38 @@ def test_one_of_each_component_against_brute_force(spark):
     assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
+def _crowd(monkeypatch):
+    """(doc_id, fingerprint) of rows of which more than a bucket may hold agree on two of the four masks probed; the text
+    is the fingerprint as a number."""
+    monkeypatch.setattr(simhash, "probe_plan", lambda nodes, distance: [(i, 0xFFFF << 16 * i) for i in range(4)])
+    text = F.col("text").cast("long").alias("fp")
+    monkeypatch.setattr(simhash, "_printed", lambda named, shingle: named.select(*named.columns[:-1], text))
+    draw = random.Random(6)
+    shared = draw.getrandbits(40)
+    prints = [(None if i % 50 == 7 else 9000 - i // 2, draw.getrandbits(24) << 40 | shared) for i in range(2600)]
+    prints += [(i, draw.getrandbits(64)) for i in range(100)]
+    assert len({fp for _, fp in prints if fp & 0xFFFF == shared & 0xFFFF}) > 2048
+    return prints + prints[:5]
+
+
+def _numbered(spark, prints):
+    signed = [(i, str(fp - (fp >> 63 << 64))) for i, fp in prints]
+    return documents(spark, [(i, t, "en", "s", 1, None, None) for i, t in signed])
+
+
+def test_one_of_each_of_a_crowd_against_brute_force(spark, monkeypatch):
+    prints = _crowd(monkeypatch)
+    groups = {}
+    for i, component in _plain_components([(i, fp) for i, (_, fp) in enumerate(prints)]):
+        groups.setdefault(component, []).append(i)
+    assert 500 < len(groups) < 2500
+    kept = simhash.one_of_each(_numbered(spark, prints)).collect()
+    group_of = {prints[i][1]: g for g, members in groups.items() for i in members}
+    kept = {group_of[int(r.text) % 2**64]: r.doc_id for r in kept} if len(kept) == len(groups) else {}
+    ids = {g: [prints[i][0] for i in members if prints[i][0] is not None] for g, members in groups.items()}
+    assert kept == {g: min(found, default=None) for g, found in ids.items()}
+
+
 # --- language
 
 
