@@ -169,6 +169,13 @@ def test_one_of_each_of_a_crowd_against_brute_force(spark, monkeypatch):
     assert kept == {g: min(found, default=None) for g, found in ids.items()}
 
 
+def test_near_duplicates_of_a_crowd_against_brute_force(spark, monkeypatch):
+    prints = _crowd(monkeypatch)
+    found = simhash.near_duplicates(_numbered(spark, prints)).collect()
+    assert sorted([(r.doc_id, r.fp % 2**64) for r in found], key=str) == sorted(prints, key=str)
+    assert sorted([(r.doc_id, r.component_id) for r in found], key=str) == sorted(_plain_components(prints), key=str)
+
+
 # --- language
 
 
